@@ -11,15 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE = 1 << 16
-_ROW = "place int, counts binary"
+_ROW = "place int, width int, counts binary"
 
 
-def _pack(place: int, a: np.ndarray) -> tuple[int, bytes]:
-    return place, zlib.compress(a.tobytes(), 1)
+def _rows(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Slices in the narrowest type that holds them, compressed."""
+    place, width, raw = [], [], []
+    for p, a in parts:
+        kind = np.min_scalar_type(int(a.max()))
+        place.append(p)
+        width.append(kind.itemsize)
+        raw.append(zlib.compress(a.astype(kind).tobytes(), 1))
+    return pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), pa.array(width, pa.int32()), pa.array(raw, pa.binary())], names=["place", "width", "counts"])
 
 
-def _batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["place", "counts"])
+def _read(width: int, raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), dtype=f"u{width}").astype(np.int64)
 
 
 def corpus_counts(df: DataFrame, add: Callable[[np.ndarray, pa.RecordBatch], None], cells: int) -> np.ndarray:
@@ -37,21 +44,21 @@ def corpus_counts(df: DataFrame, add: Callable[[np.ndarray, pa.RecordBatch], Non
         for place in range(0, cells, SLICE):
             part = counts[place : place + SLICE]
             if part.any():
-                yield _batch([_pack(place, part)])
+                yield _rows([(place, part)])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for place, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(zlib.decompress(raw.as_py()), dtype=np.int64)
+            for place, width, raw in zip(*(c.to_pylist() for c in b.columns)):
+                part = _read(width, raw)
                 sums[place] = sums[place] + part if place in sums else part
         for place, part in sums.items():
-            yield _batch([_pack(place, part)])
+            yield _rows([(place, part)])
 
     merged = df.mapInArrow(count, _ROW).repartition("place").mapInArrow(merge, _ROW)
     total = np.zeros(cells, dtype=np.int64)
-    for place, raw in merged.toLocalIterator():
-        part = np.frombuffer(zlib.decompress(bytes(raw)), dtype=np.int64)
+    for place, width, raw in merged.collect():
+        part = _read(width, bytes(raw))
         total[place : place + len(part)] = part
     return total
 
