@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kbspark.functions.text import canonical_word
 from kbspark.llm.corpus import corpus_counts
-from kbspark.llm.tokens import FOLDER, NAME, share_ranks, vocabulary
+from kbspark.llm.tokens import FOLDER, NAME, encode, share_ranks, vocabulary
 from kbspark.llm.units import grams, units
 from kbspark.plans.lineage import cut
 
@@ -90,7 +90,7 @@ def memberships(docs: DataFrame, spark: SparkSession, sources: list[str], folder
             for b in range(0, batch.num_rows, 1000):
                 part = batch.slice(b, 1000)
                 texts = [t or "" for t in part.column(2).to_pylist()]
-                tokens = [sum(len(v.bpe.encode_ordinary(t[a : a + (1 << 16)])) for a in range(0, len(t), 1 << 16)) for t in texts]
+                tokens = [len(encode(v, t)) for t in texts]
                 p = np.zeros((len(texts), len(sources)))
                 known = [place.get(s, -1) for s in part.column(1).to_pylist()]
                 for i, k in enumerate(known):
