@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kbspark import snapshot_queries
+from kbspark import document_queries, snapshot_queries
 
-_MODULES = (snapshot_queries,)
+_MODULES = (snapshot_queries, document_queries)
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
