@@ -191,7 +191,7 @@ _EVIDENCE = ", ev AS (\n" + "\nUNION ALL ".join(
 _W = {k: (s, w) for k, (s, w) in relations.STRENGTH.items()}
 _N = {k: "count(*) FILTER (rule IN (" + ", ".join(f"'{r}'" for r, (s, _) in _W.items() if s == k) + "))" for k in ("strong", "medium", "weak")}
 _BEST = "max(CASE rule " + " ".join(f"WHEN '{r}' THEN {w}" for r, (_, w) in _W.items()) + " END)"
-_SCORED = f"SELECT source_id, target_id, string_agg(DISTINCT rule, '/' ORDER BY rule) AS rules, {_N['strong']} AS strong, {_N['medium']} AS medium, {_N['weak']} AS weak, round({_N['strong']} * 100 + {_N['medium']} * 20 + {_N['weak']} * 2 + {_BEST}, 4) AS score FROM ev GROUP BY ALL"
+_SCORED = f"SELECT source_id, target_id, string_agg(DISTINCT rule, '/' ORDER BY rule) AS rules, {_N['strong']} AS strong, {_N['medium']} AS medium, {_N['weak']} AS weak, round({_N['strong']} * 100 + {_N['medium']} * 20 + {_N['weak']} * 2 + {_BEST}, 4)::DOUBLE AS score FROM ev GROUP BY ALL"
 _CHANGES = """, pairs AS (
   SELECT coalesce(n.k, o.k + 1) AS k, coalesce(n.source_id, o.source_id) AS source_id, n.source_id IS NOT NULL AS here, o.source_id IS NOT NULL AS before,
     list_filter([
@@ -224,7 +224,7 @@ CASE WHEN regexp_matches(t1, '(?i)(api[_ -]?key|access[_ -]?token|refresh[_ -]?t
 SELECT update_time, micros, strftime(make_timestamp(micros + 28800000000), '%Y-%m-%d %H:%M:%S') AS local_time, CAST(floor((epoch_us(TIMESTAMP '2026-05-01') - micros) / 86400000000) AS BIGINT) AS age_days FROM t""",
     "profile_lists": f"{_EACH}, l AS (SELECT source_id, list_filter(list_transform(keywords, lambda x: substr(trim(regexp_replace(x, '\\s+', ' ', 'g')), 1, 40)), lambda x: x <> '') AS l_keywords, list_filter(list_transform(version_signals, lambda x: substr(trim(regexp_replace(x, '\\s+', ' ', 'g')), 1, 60)), lambda x: x <> '') AS l_version_signals FROM docs) SELECT source_id, array_to_string(list_filter(l_keywords, lambda x, i: list_position(l_keywords, x) = i)[1:6], '|') AS keywords, array_to_string(list_filter(l_version_signals, lambda x, i: list_position(l_version_signals, x) = i)[1:8], '|') AS signals FROM l",
     "content_batches": f"""{_EACH}, r AS (SELECT source_id, length(content) AS chars, CAST('0x' || substr(sha256(source_id), 1, 8) AS BIGINT) % 1024 AS lane FROM docs WHERE content IS NOT NULL)
-SELECT source_id, CAST(lane AS INT) AS lane, CAST(floor(coalesce(sum(chars) OVER (PARTITION BY lane ORDER BY source_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 20000) AS INT) AS batch, chars FROM r""",
+SELECT source_id, CAST(lane AS INT) AS lane, CAST(floor(coalesce(sum(chars) OVER (PARTITION BY lane ORDER BY source_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 20000) AS INT) AS batch, CAST(chars AS BIGINT) AS chars FROM r""",
     "same_content_members": _member_sql("SELECT sha256(content) AS bucket, source_id FROM docs WHERE trim(content) <> ''"),
     "same_title_members": _member_sql(_TITLE_ROWS),
     "same_title_pairs": _pair_sql(_TITLE_ROWS),
