@@ -18,7 +18,7 @@ from kbspark.plans.lineage import cut
 #: Fixed by the problem: similarity, characters in a sequence, shortest compared text.
 THRESHOLD, N, SHORTEST = 0.7, 5, 100
 #: Sequences two similar texts must share among their rarest ones, beyond what the prefix filter asks.
-SHARED = 16
+SHARED = 8
 SKETCH_BITS = 24
 #: Postings of one sequence that are joined in one piece.
 BLOCK = 512
