@@ -196,45 +196,106 @@ def candidates(posted: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
 
 
-def _apart(x: np.ndarray, y: np.ndarray, most: int, depth: int = 3) -> int:
-    """Suffix filter: a lower bound of the sequences that only one of both sets has.
+#: Parts of the hash range in which the suffix filter counts.
+PARTS = 256
 
-    Sets are sorted by hash; what lies below and above a pivot must match within its part.
+
+def _profile(h: np.ndarray) -> np.ndarray:
+    """How many sequences of a text fall into each part of the hash range, at most 255."""
+    return np.minimum(255, np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=PARTS)).astype(np.uint8)
+
+
+def apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Suffix filter: a lower bound of the sequences that only one of two texts has, from their profiles (rows).
+
+    Equal sequences fall into the same part, so that the parts' differences add up to no
+    more than the sequences that differ; cutting at 255 only makes them smaller.
+    """
+    return np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1)
+
+
+def profiles(texts: DataFrame) -> DataFrame:
+    """(class_no, class_id, size, profile) of every different text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            ids, nos, out = [], [], []
+            for i, no, t in zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), batch.column(2)):
+                if i not in seen:
+                    seen.add(i)
+                    h = sequences(t.as_py())
+                    ids.append(i)
+                    nos.append(no)
+                    out.append((len(h), _profile(h).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(nos, pa.int64()), pa.array(ids, pa.string()), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["class_no", "class_id", "size", "profile"])
+
+    return texts.select("class_no", "class_id", "text").mapInArrow(run, "class_no bigint, class_id string, size bigint, profile binary").dropDuplicates(["class_id"])
+
+
+def filtered(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b) class ids of the candidates that pass the suffix filter."""
+    left = known.select(F.col("class_no").alias("a"), F.col("class_id").alias("id_a"), F.col("size").alias("size_a"), F.col("profile").alias("profile_a"))
+    right = known.select(F.col("class_no").alias("b"), F.col("class_id").alias("id_b"), F.col("size").alias("size_b"), F.col("profile").alias("profile_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size_a, size_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, PARTS) for i in (4, 5))
+            good = pa.array(apart_at_least(x, y) <= size_a + size_b - 2 * least_overlap(size_a, size_b))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
+
+    both = pairs.join(left, "a").join(right, "b").where(F.col("id_a") != F.col("id_b"))
+    return both.select("id_a", "id_b", "size_a", "size_b", "profile_a", "profile_b").mapInArrow(run, "a string, b string")
+
+
+_NEEDED_BITS = 22
+
+
+def needed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(class_id, text) of the texts that occur in ``pairs``, each once.
+
+    A bitmap of a fixed size tells every task which of its texts may be needed, so that only
+    those are shuffled; the join that follows decides.
     """
-    if not len(x) or not len(y) or depth == 0:
-        return abs(len(x) - len(y))
-    pivot = y[len(y) // 2]
-    i, j = np.searchsorted(x, pivot), len(y) // 2
-    low = abs(int(i) - j) + abs((len(x) - int(i)) - (len(y) - j))
-    if low > most:
-        return low
-    left = _apart(x[:i], y[:j], most, depth - 1)
-    return left if left > most else left + _apart(x[i:], y[j:], most - left, depth - 1)
+    cells = 1 << _NEEDED_BITS
+
+    def add(marks: np.ndarray, batch: pa.RecordBatch) -> None:
+        for c in batch.columns:
+            marks[c.to_numpy() & (cells - 1)] = 1
+
+    number = lambda c: F.xxhash64(F.col(c)).alias(c)
+    marks = texts.sparkSession.sparkContext.broadcast(corpus_counts(pairs.select(number("a"), number("b")), add, cells) > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(marks.value[batch.column(2).to_numpy() & (cells - 1)])) for c in batch.columns[:2]], names=["class_id", "text"])
+
+    rows = texts.select("class_id", "text", F.xxhash64("class_id").alias("no"))
+    return rows.mapInArrow(run, "class_id string, text string").dropDuplicates(["class_id"])
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two sets are similar by THRESHOLD: suffix filter first, then the exact count."""
-    need = int(least_overlap(len(x), len(y)))
-    most = len(x) + len(y) - 2 * need
-    if _apart(x, y, most) > most:
-        return False
-    both = len(x) + len(y) - len(np.union1d(x, y))
+    """Whether two sets are similar by THRESHOLD, exactly."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
     return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) class ids of the pairs whose texts are similar; each pair is looked at once."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class_no")).distinct()
-    own = texts.join(ends, "class_no", "left_semi").select("class_no", "class_id", "text").dropDuplicates(["class_id"])
-    left = own.select(F.col("class_no").alias("a"), F.col("class_id").alias("id_a"), F.col("text").alias("text_a"))
-    right = own.select(F.col("class_no").alias("b"), F.col("class_id").alias("id_b"), F.col("text").alias("text_b"))
+    """(a, b) class ids of the candidates whose texts are similar: suffix filter first, then each pair exactly once."""
+    left_over = cut(filtered(pairs, cut(profiles(texts), "profiles")), "filtered")
+    own = needed(left_over, texts)
+    left = own.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
+    right = own.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: dict[str, np.ndarray] = {}
-            ids = [batch.column(0).to_pylist(), batch.column(2).to_pylist()]
+            ids = [batch.column(0).to_pylist(), batch.column(1).to_pylist()]
             good = []
-            for ia, ta, ib, tb in zip(ids[0], batch.column(1), ids[1], batch.column(3)):
+            for ia, ib, ta, tb in zip(ids[0], ids[1], batch.column(2), batch.column(3)):
                 for i, t in ((ia, ta), (ib, tb)):
                     if i not in known:
                         known[i] = sequences(t.as_py())
@@ -242,8 +303,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(ids[0]).filter(mask), pa.array(ids[1]).filter(mask)], names=["a", "b"])
 
-    both = pairs.join(left, "a").join(right, "b").select("id_a", "text_a", "id_b", "text_b")
-    return both.mapInArrow(run, "a string, b string")
+    return left_over.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a string, b string")
 
 
 def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
