@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,31 +26,65 @@ SKETCH_BITS = 24
 BLOCK = 512
 
 
-def compared(texts: DataFrame) -> DataFrame:
-    """(source_id, text): lower-cased letters and digits of content or, where blank, of summary.
+def raw(texts: DataFrame) -> DataFrame:
+    """(source_id, content, summary) of the rows with an id, as they are."""
+    rows = texts.select(canonical_id("source_id").alias("source_id"), F.col("content").cast("string").alias("content"), F.col("summary").cast("string").alias("summary"))
+    return rows.where(F.col("source_id").isNotNull())
 
-    Texts shorter than 100 characters afterwards and rows without id are left out; a record
-    delivered again with the same text is there once.
-    """
-    content = F.when(F.trim(F.regexp_replace("content", r"(?U)\s+", "")) != "", F.col("content"))
-    text = F.regexp_replace(F.lower(F.coalesce(content, F.col("summary"))), r"[^\p{L}\p{N}]+", "")
-    rows = texts.select(canonical_id("source_id").alias("source_id"), text.alias("text"))
-    return rows.where(F.col("source_id").isNotNull() & (F.length("text") >= SHORTEST))
+
+_LETTERS: list[np.ndarray] = []
+
+
+def _letters() -> np.ndarray:
+    """For every code point whether it is a letter or a number; from Unicode's own data, once per worker."""
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((unicodedata.category(chr(i))[0] in "LN" for i in range(0x110000)), dtype=bool, count=0x110000))
+    return _LETTERS[0]
+
+
+def compared(content: str | None, summary: str | None) -> np.ndarray | None:
+    """Lower-cased letters and digits of content or, where blank, of summary, as code points; None under SHORTEST."""
+    text = content if content and content.strip() else summary
+    if not text:
+        return None
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    c = c[_letters()[c]]
+    return c if len(c) >= SHORTEST else None
 
 
-def named(rows: DataFrame) -> DataFrame:
-    """``rows`` with class_id, a 128-bit name of the text that all its copies share, and class_no, its first 36 bits.
+class Texts:
+    """The compared texts of a task's batches; with ``once``, copies within the task only once.
 
-    Copies are never gathered: a third of all rows may be copies of one text.
+    A text is named by a 128-bit hash that all its copies share, its class, so that copies
+    are never gathered: a third of all rows may be copies of one text. ``no`` is its first 36
+    bits.
     """
-    first = F.xxhash64("text")
-    name = F.concat(F.hex(first), F.lit("-"), F.hex(F.xxhash64(F.lit(1), "text")))
-    return rows.withColumn("class_no", F.shiftrightunsigned(first, 28)).withColumn("class_id", name)
 
+    def __init__(self, once: bool):
+        self.seen: set[int] | None = set() if once else None
 
-def sequences(text: str) -> np.ndarray:
+    def of(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(row, class, code points)."""
+        for row, (content, summary) in enumerate(zip(batch.column("content"), batch.column("summary"))):
+            c = compared(content.as_py(), summary.as_py())
+            if c is not None:
+                name = xxhash.xxh3_128_intdigest(c.tobytes())
+                if self.seen is None:
+                    yield row, name, c
+                elif name not in self.seen:
+                    self.seen.add(name)
+                    yield row, name, c
+
+
+def class_no(name: int) -> int:
+    return name >> 92
+
+
+def sequences(codes: np.ndarray | str) -> np.ndarray:
     """Distinct hashes of the sequences of N characters, ascending."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if isinstance(codes, str):
+        codes = np.frombuffer(codes.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    c = codes.astype(np.uint64)
     if len(c) < N:
         return np.empty(0, dtype=np.uint64)
     h = c[: len(c) - N + 1].copy()
@@ -61,15 +97,6 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _different(part: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[int, str]]:
-    """(class_no, text) of the texts of a batch that its task has not had yet: copies count once a task."""
-    for no, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-        key = hash(text)
-        if key not in seen:
-            seen.add(key)
-            yield no, text
-
-
 def rarity(texts: DataFrame) -> np.ndarray:
     """In how many texts the sequences of each hash bucket occur, over all texts, on a scale of 1/8 octaves.
 
@@ -78,10 +105,10 @@ def rarity(texts: DataFrame) -> np.ndarray:
     """
 
     def add(counts: np.ndarray, batch: pa.RecordBatch) -> None:
-        for _, t in _different(batch, set()):
-            np.add.at(counts, _bucket(sequences(t)), 1)
+        for _, _, c in Texts(once=True).of(batch):
+            np.add.at(counts, _bucket(sequences(c)), 1)
 
-    counts = corpus_counts(texts.select("class_no", "text"), add, 1 << SKETCH_BITS)
+    counts = corpus_counts(texts.select("content", "summary"), add, 1 << SKETCH_BITS)
     return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
 
@@ -111,13 +138,13 @@ def postings(texts: DataFrame, codes: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = shared.value
-        seen: set[int] = set()
+        own_texts = Texts(once=True)
         for batch in batches:
             for b in range(0, batch.num_rows, 256):
                 at: list[np.ndarray] = []
                 whose: list[np.ndarray] = []
-                for no, text in _different(batch.slice(b, 256), seen):
-                    h = sequences(text)
+                for _, name, codes_ in own_texts.of(batch.slice(b, 256)):
+                    h, no = sequences(codes_), class_no(name)
                     code = codes[_bucket(h)]
                     first = np.lexsort((h, code))[: prefix_length(len(h))]
                     rank = np.arange(len(first), dtype=np.uint64)
@@ -136,7 +163,7 @@ def postings(texts: DataFrame, codes: np.ndarray) -> DataFrame:
                 if at:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (at, whose)], names=["at", "whose"])
 
-    return texts.select("class_no", "text").mapInArrow(run, "at bigint, whose bigint")
+    return texts.select("content", "summary").mapInArrow(run, "at bigint, whose bigint")
 
 
 def _met(at: np.ndarray, whose: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -215,22 +242,22 @@ def apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def profiles(texts: DataFrame) -> DataFrame:
-    """(class_no, class_id, size, profile) of every different text."""
+    """(source_id, class_id, class_no, size, profile) of every row with a compared text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
         for batch in batches:
-            ids, nos, out = [], [], []
-            for i, no, t in zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), batch.column(2)):
-                if i not in seen:
-                    seen.add(i)
-                    h = sequences(t.as_py())
-                    ids.append(i)
-                    nos.append(no)
-                    out.append((len(h), _profile(h).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(nos, pa.int64()), pa.array(ids, pa.string()), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["class_no", "class_id", "size", "profile"])
+            rows, ids, nos, size, out = [], [], [], [], []
+            for row, name, c in Texts(once=False).of(batch):
+                h = sequences(c)
+                rows.append(row)
+                ids.append(f"{name:032x}")
+                nos.append(class_no(name))
+                size.append(len(h))
+                out.append(_profile(h).tobytes())
+            source = batch.column("source_id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([source, pa.array(ids, pa.string()), pa.array(nos, pa.int64()), pa.array(size, pa.int64()), pa.array(out, pa.binary())], names=["source_id", "class_id", "class_no", "size", "profile"])
 
-    return texts.select("class_no", "class_id", "text").mapInArrow(run, "class_no bigint, class_id string, size bigint, profile binary").dropDuplicates(["class_id"])
+    return texts.mapInArrow(run, "source_id string, class_id string, class_no bigint, size bigint, profile binary")
 
 
 def filtered(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -263,18 +290,18 @@ def needed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     cells = 1 << _NEEDED_BITS
 
     def add(marks: np.ndarray, batch: pa.RecordBatch) -> None:
-        for c in batch.columns:
-            marks[c.to_numpy() & (cells - 1)] = 1
+        for column in batch.columns:
+            marks[[int(i, 16) & (cells - 1) for i in column.to_pylist()]] = 1
 
-    number = lambda c: F.xxhash64(F.col(c)).alias(c)
-    marks = texts.sparkSession.sparkContext.broadcast(corpus_counts(pairs.select(number("a"), number("b")), add, cells) > 0)
+    marks = texts.sparkSession.sparkContext.broadcast(corpus_counts(pairs.select("a", "b"), add, cells) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, own = marks.value, Texts(once=True)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(marks.value[batch.column(2).to_numpy() & (cells - 1)])) for c in batch.columns[:2]], names=["class_id", "text"])
+            found = [(f"{name:032x}", c.tobytes().decode("utf-32-le", "surrogatepass")) for _, name, c in own.of(batch) if wanted[name & (cells - 1)]]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.string()), pa.array([t for _, t in found], pa.string())], names=["class_id", "text"])
 
-    rows = texts.select("class_id", "text", F.xxhash64("class_id").alias("no"))
-    return rows.mapInArrow(run, "class_id string, text string").dropDuplicates(["class_id"])
+    return texts.select("content", "summary").mapInArrow(run, "class_id string, text string").dropDuplicates(["class_id"])
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -283,9 +310,9 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b) class ids of the candidates whose texts are similar: suffix filter first, then each pair exactly once."""
-    left_over = cut(filtered(pairs, cut(profiles(texts), "profiles")), "filtered")
+    left_over = cut(filtered(pairs, known.dropDuplicates(["class_id"])), "filtered")
     own = needed(left_over, texts)
     left = own.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
     right = own.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
@@ -316,15 +343,15 @@ def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     once. Nothing is capped: all pairs of different texts at or over the threshold are found.
     Copies are members of one class; an empty table gives no rows.
     """
-    rows = named(compared(texts))
-    pairs = cut(candidates(postings(rows, rarity(rows))), "candidates")
-    return verified(pairs, rows), rows.select("source_id", "class_id").distinct()
+    rows = raw(texts)
+    pairs = candidates(postings(rows, rarity(rows)))
+    known = cut(profiles(rows), "profiles")
+    return verified(pairs, known, rows), known.select("source_id", "class_id").distinct()
 
 
 def similar_records(texts: DataFrame) -> DataFrame:
     """(id_a, id_b), id_a < id_b, of all pairs of different records with similar texts, copies included."""
     pairs, members = near_duplicates(texts)
-    members = cut(members, "members")
     same = pairs.select("a", "b").unionByName(members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
     left, right = members.select(F.col("source_id").alias("x"), F.col("class_id").alias("a")), members.select(F.col("source_id").alias("y"), F.col("class_id").alias("b"))
     found = same.join(left, "a").join(right, "b").where(F.col("x") != F.col("y"))
@@ -338,7 +365,7 @@ def duplicate_groups(texts: DataFrame) -> DataFrame:
     record's class is similar to, so that copies are not expanded into pairs.
     """
     pairs, members = near_duplicates(texts)
-    pairs, members = cut(pairs, "pairs"), cut(members, "members")
+    pairs = cut(pairs, "pairs")
     groups = connected_groups(pairs).withColumnRenamed("id", "class_id")
     links = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("links"))
     copies = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("copies"))
