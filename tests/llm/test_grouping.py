@@ -2,6 +2,7 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from kbspark.llm.grouping import connected_groups, verdict_groups
 
@@ -51,6 +52,6 @@ def test_latest_verdict_counts(spark):
         (None, "KB-8", "KB-9", "confirmed", "完全重复", None),
         (None, "KB-9", "KB-a", "confirmed", "完全重复", None),
     ]
-    df = spark.createDataFrame(rows, "relation_id string, source_id string, target_id string, verification_status string, verified_relation_type string, verified_at timestamp")
+    df = spark.createDataFrame(rows, "relation_id string, source_id string, target_id string, verification_status string, verified_relation_type string, verified_at timestamp").withColumn("group_id", F.lit("x")).withColumn("a", F.lit(1))
     got = {tuple(r) for r in verdict_groups(df).collect()}
     assert got == {("KB-1", "KB-1"), ("KB-2", "KB-1"), ("KB-8", "KB-8"), ("KB-9", "KB-8"), ("KB-A", "KB-8")}
