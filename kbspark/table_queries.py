@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kbspark.functions import markup
 from kbspark.operators import quality
 from kbspark.snapshot_queries import strip_sql
+from kbspark.sources import files
 from kbspark.sources.tables import table
 from kbspark.streaming import readings
 
@@ -50,6 +51,8 @@ QUERIES = {
     "safe_texts": _safe,
     "hit_windows": _windows,
     "visible_text": lambda s, d: table(s, d, "documents").where(F.col("text").isNotNull()).select("doc_id", F.sha2(markup.visible_text(F.col("text")), 256).alias("text_hash")),
+    "csv_round_trip": lambda s, d: files.round_trip(table(s, d, "semantic_output").select("source_id", "document_key", "file_name", "content", "summary"), "csv"),
+    "jsonl_round_trip": lambda s, d: files.round_trip(table(s, d, "relation_verification").select("relation_id", "source_id", "target_id", "verified_relation_type", "confidence"), "jsonl"),
     "streamed_readings": lambda s, d: readings.drained(readings.latest_readings(readings.files(s, d, "raw_manifest")), "readings"),
     "streamed_event_windows": lambda s, d: readings.drained(readings.windowed_events(readings.files(s, d, "events")), "windows"),
 }
@@ -92,6 +95,8 @@ m AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY doc_id ORDER BY i ROWS
 k AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM m)
 SELECT doc_id, CAST(min(a) AS INT) AS start_pos, CAST(max(b) AS INT) AS end_pos FROM k GROUP BY doc_id, island""",
     "visible_text": f"SELECT doc_id, sha256(trim(regexp_replace({_VISIBLE}, '[ \\t]*\\n\\s*', chr(10), 'g'), ' ')) AS text_hash FROM documents WHERE text IS NOT NULL",
+    "csv_round_trip": "SELECT source_id, document_key, file_name, content, summary FROM semantic_output",
+    "jsonl_round_trip": "SELECT relation_id, source_id, target_id, verified_relation_type, confidence FROM relation_verification",
     "streamed_readings": f"WITH r AS (SELECT {_ID('source_id')} AS source_id, loaded_at, {_HASH} AS source_hash FROM raw_manifest) SELECT source_id, loaded_at, source_hash, readings FROM (SELECT *, count(*) OVER (PARTITION BY source_id) AS readings FROM r WHERE source_id IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY loaded_at DESC NULLS LAST, source_hash DESC NULLS LAST) = 1",
     "streamed_event_windows": "SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY ALL",
 }
