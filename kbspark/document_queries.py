@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kbspark.functions import titles as T
 from kbspark.functions.times import instant_micros
-from kbspark.operators import folders, incremental, relations
+from kbspark.operators import folders, incremental, neighbours, relations
 from kbspark.operators.documents import documents, listing
 from kbspark.snapshot_queries import strip_sql
 from kbspark.sources.tables import table
@@ -132,6 +132,7 @@ QUERIES = {
     "cited_titles": lambda s, d: relations.cited_titles(_docs(s, d)),
     "output_to_input": lambda s, d: relations.output_to_input(_docs(s, d)),
     "complementary_roles": lambda s, d: relations.complementary_roles(_docs(s, d)),
+    "cosine_neighbours": lambda s, d: neighbours.cosine_neighbours(_docs(s, d)),
     "scored_edges": _edges,
     "edge_degrees": lambda s, d: relations.degrees(_edges(s, d)),
     "capped_edges": lambda s, d: relations.capped(_edges(s, d), 12),
@@ -239,6 +240,15 @@ SELECT * FROM (SELECT *, count(*) FILTER (side = 'output') OVER (PARTITION BY bu
     "complementary_roles": f"""{_EACH}, r AS (SELECT DISTINCT {_FOLD.format('x')} AS bucket, source_id, role FROM (SELECT unnest(business_objects) AS x, source_id, coalesce(nullif({strip_sql('document_role')}, ''), nullif({strip_sql('page_type_candidate')}, '')) AS role FROM docs) WHERE role IS NOT NULL),
 p(a, b) AS (VALUES {', '.join(f"('{a}', '{b}'), ('{b}', '{a}')" for a, b in relations.ROLE_PAIRS)})
 SELECT x.bucket, x.source_id, x.role, count(DISTINCT y.source_id) AS partners FROM r x JOIN r y ON x.bucket = y.bucket AND x.source_id <> y.source_id AND EXISTS (SELECT 1 FROM p WHERE contains(x.role, a) AND contains(y.role, b)) WHERE x.bucket <> '' GROUP BY ALL""",
+    "cosine_neighbours": f"""{_EACH}, w AS (SELECT source_id, unnest(regexp_extract_all(lower(concat_ws(chr(10), file_name, core_theme, array_to_string(keywords, chr(10)))), '[a-z][a-z0-9_-]{{1,}}|\\d{{2,}}|[一-鿿]{{2,}}')) AS w FROM docs),
+t AS (SELECT source_id, unnest(CASE WHEN regexp_full_match(w, '[一-鿿]{{3,}}') THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) ELSE [w] END) AS word FROM w),
+c AS (SELECT source_id, word, count(*) AS c FROM t GROUP BY ALL),
+x AS (SELECT *, (1 + ln(c)) * (ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*) OVER (PARTITION BY word))) + 1) AS w FROM c),
+u AS (SELECT source_id, word, w / sqrt(sum(w * w) OVER (PARTITION BY source_id)) AS weight FROM x),
+n AS (SELECT source_id, string_agg(word || '=' || printf('%.9f', weight), chr(10) ORDER BY word) AS name FROM u GROUP BY 1),
+v AS (SELECT u.* FROM u WHERE source_id IN (SELECT min(source_id) FROM n GROUP BY name)),
+p AS (SELECT a.source_id, b.source_id AS target_id, round(sum(a.weight * b.weight), 6) AS cosine FROM v a JOIN v b ON a.word = b.word AND a.source_id <> b.source_id GROUP BY ALL)
+SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target_id) AS rank FROM p WHERE cosine >= 0.5 QUALIFY rank <= 10""",
     "scored_edges": f"{_EACH}{_EVIDENCE} {_SCORED}",
     "edge_degrees": f"{_EACH}{_EVIDENCE}, s AS ({_SCORED}) SELECT source_id, count(*) AS degree FROM (SELECT source_id FROM s UNION ALL SELECT target_id FROM s) GROUP BY 1",
     "folder_index": f"""{_EACH}{_UP} SELECT c.folder, len(string_split(c.folder, '/')) AS depth, documents, coalesce(folders, 0) AS folders, all_documents
