@@ -112,7 +112,7 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
 
 
 def passages(docs: DataFrame, weights: np.ndarray, id_column: str = "doc_id", text_column: str = "text", least: float = 1.0) -> DataFrame:
-    """(id, n_units, score, segments): the best segment's score of each document (0: none) and its segments over ``least``."""
+    """(id, source, n_units, best, segments): the best segment's score of each document (0: none) and its segments over ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     kind = dict(docs.select(F.col(id_column).alias("id")).dtypes)["id"]
     out = pa.schema([("n_units", pa.int64()), ("best", pa.float64()), ("segments", pa.list_(pa.struct([("score", pa.float64()), ("start_pos", pa.int64()), ("end_pos", pa.int64())])))])
@@ -138,10 +138,11 @@ def passages(docs: DataFrame, weights: np.ndarray, id_column: str = "doc_id", te
                     best[i] = max(x[0] for x in own)
                     end = [*pos[a + 1 : e].tolist(), len(texts[i])]
                     found[i] = [{"score": x, "start_pos": int(pos[a + f]), "end_pos": int(end[t])} for x, f, t in own if x >= least]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n_units, pa.int64()), pa.array(best, pa.float64()), pa.array(found, out.field("segments").type)], names=["id", "n_units", "best", "segments"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n_units, pa.int64()), pa.array(best, pa.float64()), pa.array(found, out.field("segments").type)], names=["id", "source", "n_units", "best", "segments"])
 
-    schema = f"id {kind}, n_units bigint, best double, segments array<struct<score double, start_pos bigint, end_pos bigint>>"
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    schema = f"id {kind}, source string, n_units bigint, best double, segments array<struct<score double, start_pos bigint, end_pos bigint>>"
+    source = F.when(canonical_word("source") != "", canonical_word("source"))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), source.alias("source"))
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_column)
 
 
@@ -174,7 +175,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chance = lambda s: F.lit(scale) * F.col("n_units") * F.exp(F.lit(-slope) * s)
     score = F.aggregate(F.transform("segments", lambda x: F.greatest(F.lit(0.0), -F.log10(chance(x["score"])))), F.lit(0.0), lambda a, x: a + x)
     hits = F.filter("segments", lambda x: chance(x["score"]) <= SIGNIFICANCE)
-    return found.select("doc_id", F.round(score, 4).alias("score"), F.size(hits).alias("n_passages"), F.transform(hits, lambda x: F.struct(x["start_pos"].alias("start_pos"), x["end_pos"].alias("end_pos"))).alias("passages"))
+    return found.select("doc_id", "source", F.round(score, 4).alias("score"), F.size(hits).alias("n_passages"), F.transform(hits, lambda x: F.struct(x["start_pos"].alias("start_pos"), x["end_pos"].alias("end_pos"))).alias("passages"))
 
 
 def toxic_documents(scored: DataFrame) -> DataFrame:
@@ -182,10 +183,9 @@ def toxic_documents(scored: DataFrame) -> DataFrame:
     return scored.where((F.col("n_passages") > 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def source_rates(scored: DataFrame, docs: DataFrame) -> DataFrame:
+def source_rates(scored: DataFrame) -> DataFrame:
     """(source, documents, toxic, rate, mean_score); source trimmed and in lower case, null where missing."""
-    rows = scored.join(docs.select("doc_id", F.when(canonical_word("source") != "", canonical_word("source")).alias("source")), "doc_id")
-    return rows.groupBy("source").agg(
+    return scored.groupBy("source").agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("n_passages") > 0).alias("toxic"),
         F.round(F.avg((F.col("n_passages") > 0).cast("int")), 6).alias("rate"),

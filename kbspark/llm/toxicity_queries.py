@@ -13,6 +13,6 @@ def _scores(spark, folder):
 QUERIES = {
     "p8_found": lambda spark, folder: toxic_documents(_scores(spark, folder)),
     "p8_scores": _scores,
-    "p8_source_rates": lambda spark, folder: source_rates(_scores(spark, folder), table(spark, folder, "documents")),
+    "p8_source_rates": lambda spark, folder: source_rates(_scores(spark, folder)),
 }
 ORACLES: dict[str, str] = {}

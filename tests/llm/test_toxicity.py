@@ -52,7 +52,7 @@ def test_held_out_accuracy_and_dirty_rows(spark):
     held = {i for i in got if i >= 300}
     assert len(held & want) >= 0.9 * len(want) and len(held - want) <= 5
     assert scored.count() == len(rows)
-    rates = {r.source: r.documents for r in source_rates(scored, docs).collect()}
+    rates = {r.source: r.documents for r in source_rates(scored).collect()}
     assert rates["wiki"] == 402
     assert toxicity(docs.limit(0), known).count() == 0
     assert toxicity(docs, known.limit(0)).count() == len(rows)
