@@ -80,8 +80,8 @@ def class_no(name: int) -> int:
     return name >> 92
 
 
-def sequences(codes: np.ndarray | str) -> np.ndarray:
-    """Distinct hashes of the sequences of N characters, ascending."""
+def every_sequence(codes: np.ndarray | str) -> np.ndarray:
+    """Hashes of the sequences of N characters, in order, with repeats."""
     if isinstance(codes, str):
         codes = np.frombuffer(codes.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     c = codes.astype(np.uint64)
@@ -90,7 +90,12 @@ def sequences(codes: np.ndarray | str) -> np.ndarray:
     h = c[: len(c) - N + 1].copy()
     for i in range(1, N):
         h = h * np.uint64(0x9E3779B97F4A7C15) + c[i : len(c) - N + 1 + i]
-    return np.unique(mix(h, N))
+    return mix(h, N)
+
+
+def sequences(codes: np.ndarray | str) -> np.ndarray:
+    """Distinct hashes of the sequences of N characters, ascending."""
+    return np.unique(every_sequence(codes))
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -98,15 +103,15 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def rarity(texts: DataFrame) -> np.ndarray:
-    """In how many texts the sequences of each hash bucket occur, over all texts, on a scale of 1/8 octaves.
+    """How often the sequences of each hash bucket occur, over all texts, on a scale of 1/8 octaves.
 
-    2^24 bytes at any size. A bucket's count is at least that of each of its sequences: code 0
-    means that at most one text has it, so that it can't be shared.
+    2^24 bytes at any size. A bucket's count is at least the number of texts that have one of
+    its sequences: code 0 means that at most one text has it, so that it can't be shared.
     """
 
     def add(counts: np.ndarray, batch: pa.RecordBatch) -> None:
         for _, _, c in Texts(once=True).of(batch):
-            np.add.at(counts, _bucket(sequences(c)), 1)
+            np.add.at(counts, _bucket(every_sequence(c)), 1)
 
     counts = corpus_counts(texts.select("content", "summary"), add, 1 << SKETCH_BITS)
     return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
@@ -146,7 +151,8 @@ def postings(texts: DataFrame, codes: np.ndarray) -> DataFrame:
                 for _, name, codes_ in own_texts.of(batch.slice(b, 256)):
                     h, no = sequences(codes_), class_no(name)
                     code = codes[_bucket(h)]
-                    first = np.lexsort((h, code))[: prefix_length(len(h))]
+                    order = (code.astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+                    first = np.argsort(order)[: prefix_length(len(h))]
                     rank = np.arange(len(first), dtype=np.uint64)
                     kept = code[first] > 0
                     first, rank = first[kept], rank[kept]
