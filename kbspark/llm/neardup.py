@@ -175,11 +175,12 @@ def postings(texts: DataFrame, codes: np.ndarray) -> DataFrame:
 def _met(at: np.ndarray, whose: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(class_no, class_no) of all texts with one sequence in common that pass the length and positional filters."""
     at, whose = at.view(np.uint64), whose.view(np.uint64)
-    token, rank = at >> np.uint64(28), (at & np.uint64(_LOW)).astype(np.int64)
-    no, size = (whose >> np.uint64(28)).astype(np.int64), (whose & np.uint64(_LOW)).astype(np.int64)
+    token, rank = at >> np.uint64(28), (at & np.uint64(_LOW)).astype(np.int32)
+    no, size = (whose >> np.uint64(28)).astype(np.int64), (whose & np.uint64(_LOW)).astype(np.int32)
     order = np.lexsort((size, token))
     token, rank, no, size = token[order], rank[order], no[order], size[order]
-    near = np.arange(len(token))
+    # the shorter text of a pair shares most of itself: only its very rarest sequences count
+    near = (rank < size - least_overlap(size, size) + SHARED).nonzero()[0]
     step = 0
     while True:
         step += 1
