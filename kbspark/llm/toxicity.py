@@ -17,13 +17,13 @@ from kbspark.plans.lineage import cut
 
 BITS = 20
 ORDERS = (1, 2, 3)
-#: Size of the Dirichlet prior, and of the words below within it.
-PRIOR, SEED_WEIGHT = 500.0, 4
+#: Size of the Dirichlet prior in proportion to the corpus, its least count for any n-gram, and the weight of the words below.
+PRIOR, FLOOR, SEED_WEIGHT = 500.0, 0.25, 8
 #: Standard errors by which a log-odds ratio must differ from 0, and what every unit costs.
 MARGIN, DRIFT = 1.64, 0.5
 LOWEST, HIGHEST = -3.0, 6.0
 #: Expected number of passages of this score in a harmless document, at most.
-SIGNIFICANCE = 0.005
+SIGNIFICANCE = 0.0005
 #: Words that the prior takes for abusive before any label is seen.
 SEEDS = """fuck|fucking|motherfucker|bitch|son of a bitch|asshole|dickhead|dipshit|shithead|piece of shit|bastard|whore|slut|cunt
 moron|retard|idiot|imbecile|scumbag|shut up you|go kill yourself|i will kill you|i will burn|break your fingers|worthless piece
@@ -74,8 +74,10 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 200_000) -> n
     bad = bad + _seed_counts()
     weights = np.zeros((len(ORDERS), 1 << BITS), dtype=np.float32)
     for row in range(len(ORDERS)):
-        a = (every[row] + bad[row] + 0.01) * (PRIOR / (every[row].sum() + bad[row].sum() + 0.01 * (1 << BITS)))
-        yb, yg = bad[row] + a, good[row] + a
+        nb, ng = max(1, int(bad[row].sum())), max(1, int(good[row].sum()))
+        a = every[row] * (PRIOR / max(1, int(every[row].sum()))) + FLOOR
+        # the prior falls to the classes by their size, so that what neither has says nothing
+        yb, yg = bad[row] + a * (2 * nb / (nb + ng)), good[row] + a * (2 * ng / (nb + ng))
         odds = np.log(yb / (yb.sum() - yb)) - np.log(yg / (yg.sum() - yg))
         error = np.sqrt(1 / yb + 1 / yg)
         weights[row] = np.sign(odds) * np.maximum(0, np.abs(odds) - MARGIN * error)
