@@ -15,7 +15,7 @@ def instant_micros(c: Column | str, naive_zone: str = "Z") -> Column:
     zone is read in ``naive_zone``, whatever the session's zone is.
     """
     s = strip(c)
-    number = F.expr("try_cast(null as bigint)") if c is None else s.try_cast("bigint")
+    number = s.try_cast("bigint")
     zoned = F.when(s.rlike(r"([zZ]|[+-]\d{2}:?\d{2})$") & s.rlike("[T ]"), F.regexp_replace(s, r"([+-]\d{2})(\d{2})$", "$1:$2")).otherwise(F.concat(s, F.lit(naive_zone)))
     iso = F.unix_micros(zoned.try_cast("timestamp"))
     return (
