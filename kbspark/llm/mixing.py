@@ -119,16 +119,18 @@ def _rates(p: np.ndarray, cap: np.ndarray, steps: list[np.ndarray]) -> np.ndarra
     return r
 
 
-def fit_rates(members: DataFrame, goal: np.ndarray, caps: np.ndarray, most_steps: int = 60, tolerance: float = 1e-6) -> tuple[list[np.ndarray], np.ndarray]:
+def fit_rates(members: DataFrame, goal: np.ndarray, caps: np.ndarray, most_steps: int = 60, tolerance: float = 1e-6, judged: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """(steps, totals): projected-gradient least squares for nonnegative document rates.
 
     Minimises the squared misfit of the domains' expected token totals to ``goal``, each
     domain in units of the tokens it has, over rates between 0 and what the document's
     domains allow. A document's rate depends only on its posterior and the steps so far, so
     that no state is kept: every step is one aggregate over all documents that sends as many
-    numbers as there are domains.
+    numbers as there are domains. The misfit of the ``judged`` domains (by default all) says
+    when to stop: one that has no documents would keep it from moving.
     """
     k = len(goal)
+    judged = np.ones(k, dtype=bool) if judged is None else judged
 
     def totals_after(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +155,11 @@ def fit_rates(members: DataFrame, goal: np.ndarray, caps: np.ndarray, most_steps
 
     steps: list[np.ndarray] = []
     got, room = totals_after(steps)
-    misfit = np.abs(got - goal).max()
+    misfit = np.abs(got - goal)[judged].max()
     for _ in range(most_steps):
         steps.append((got - goal) / np.maximum(room, 1.0))
         got, _ = totals_after(steps)
-        last, misfit = misfit, np.abs(got - goal).max()
+        last, misfit = misfit, np.abs(got - goal)[judged].max()
         if misfit <= tolerance * max(1.0, goal.sum()) or abs(last - misfit) <= tolerance * tolerance * max(1.0, goal.sum()):
             break
     return steps, got
@@ -173,8 +175,10 @@ def mix(docs: DataFrame, mix_targets: DataFrame, spark: SparkSession, total_toke
     is the source, or the likeliest one where the source is missing or not in the targets.
 
     ``total_tokens`` is the size of the mix; by default it is the largest at which every
-    source that has tokens reaches its share without exceeding its cap, so that only sources
-    without any documents miss theirs. With a larger size the sources that can't reach theirs
+    source that documents with tokens name reaches its share without exceeding its cap, so
+    that only sources without any documents miss theirs (the little that the classifier gives
+    them of documents without a source doesn't count). Where no document names a source of
+    the targets, the posteriors decide. With a larger size the sources that can't reach theirs
     stay at their cap, and ``shares`` reports what came of it.
 
     Null and empty texts have no tokens and rate 0. Repeated ids are mixed row by row. Empty
@@ -186,14 +190,15 @@ def mix(docs: DataFrame, mix_targets: DataFrame, spark: SparkSession, total_toke
         return docs.select("doc_id", canonical_word("source").alias("source"), F.lit(None).cast("string").alias("domain"), F.lit(0).cast("bigint").alias("tokens"), F.lit(0.0).alias("rate"), F.lit(0).alias("copies"))
     share, caps = np.array([t[1] for t in targets]), np.array([t[2] for t in targets], dtype=np.float64)
     members = cut(memberships(docs, spark, sources, folder, name), "members")
-    held = members.select(F.posexplode("posterior").alias("k", "p"), "tokens").groupBy("k").agg(F.sum(F.col("p") * F.col("tokens")).alias("t")).collect()
-    have = np.zeros(len(sources))
+    own = F.when(F.col("source") == F.get(F.array(*map(F.lit, sources)), F.col("k")), F.col("tokens"))
+    held = members.select(F.posexplode("posterior").alias("k", "p"), "tokens", "source").groupBy("k").agg(F.sum(F.col("p") * F.col("tokens")).alias("t"), F.sum(own).alias("own")).collect()
+    have, named = np.zeros(len(sources)), np.zeros(len(sources))
     for r in held:
-        have[r["k"]] = r["t"]
+        have[r["k"]], named[r["k"]] = r["t"], r["own"] or 0
+    full = named > 0 if named.any() else have > 0
     if total_tokens is None:
-        full = have > 0
         total_tokens = float((have * caps / share)[full].min()) if full.any() else 0.0
-    steps, _ = fit_rates(members, share * total_tokens, caps)
+    steps, _ = fit_rates(members, share * total_tokens, caps, judged=full if full.any() else None)
     shared = spark.sparkContext.broadcast((caps, steps))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,18 @@ def test_unreachable_targets_are_reported(spark):
     assert rows["absent"].tokens == 0 and not rows["absent"].reached
 
 
+def test_default_size_where_a_source_has_no_documents(spark):
+    goal = spark.createDataFrame([("big", 0.4, 1), ("mid", 0.3, 2), ("tiny", 0.2, 4), ("absent", 0.1, 3)], "source string, target_share double, max_repeats int")
+    mixed = mix(docs(spark), goal, spark).cache()
+    assert mixed.where("doc_id in (9003, 9004) and source is null").count() == 1
+    rows = {r.source: r for r in shares(mixed, goal).collect()}
+    tiny = sum(r.tokens for r in mixed.where("source = 'tiny'").collect())
+    # tiny at its cap of 4 sets the size of the mix
+    whole = tiny * 4 / 0.2
+    assert all(abs(rows[s].tokens - share * whole) <= 0.03 * whole for s, share in (("big", 0.4), ("mid", 0.3), ("tiny", 0.2))), (rows, whole)
+    assert rows["absent"].tokens == 0 and not rows["absent"].reached
+
+
 def test_empty_tables(spark):
     goal = spark.createDataFrame([("big", 1.0, 1)], "source string, target_share double, max_repeats int")
     assert mix(docs(spark).limit(0), goal, spark).count() == 0
