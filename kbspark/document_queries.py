@@ -133,6 +133,7 @@ QUERIES = {
     "output_to_input": lambda s, d: relations.output_to_input(_docs(s, d)),
     "complementary_roles": lambda s, d: relations.complementary_roles(_docs(s, d)),
     "cosine_neighbours": lambda s, d: neighbours.cosine_neighbours(_docs(s, d)),
+    "nearest_documents": lambda s, d: neighbours.nearest_documents(_docs(s, d)).drop("class_id"),
     "scored_edges": _edges,
     "edge_degrees": lambda s, d: relations.degrees(_edges(s, d)),
     "capped_edges": lambda s, d: relations.capped(_edges(s, d), 12),
@@ -209,6 +210,14 @@ _CHANGES = """, pairs AS (
 _UP = """, up AS (SELECT source_id, source_path, string_split(source_path, '/') AS p FROM docs WHERE contains(source_path, '/')),
 below AS (SELECT source_id, i, len(p) - 1 AS n, array_to_string(p[1:i], '/') AS folder FROM (SELECT *, unnest(range(1, len(p))) AS i FROM up))"""
 
+_NEAREST = """w AS (SELECT source_id, unnest(regexp_extract_all(lower(concat_ws(chr(10), file_name, summary, core_theme, array_to_string(keywords, chr(10)), array_to_string(business_objects, chr(10)))), '[a-z][a-z0-9_-]{1,}|\\d{2,}|[一-鿿]{2,}')) AS w FROM docs),
+t AS (SELECT source_id, unnest(CASE WHEN regexp_full_match(w, '[一-鿿]{3,}') THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) ELSE [w] END) AS word FROM w),
+c AS (SELECT source_id, word, count(*) AS c FROM t GROUP BY ALL),
+x AS (SELECT *, (1 + ln(c)) * (ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*) OVER (PARTITION BY word))) + 1) AS w FROM c),
+u AS (SELECT source_id, word, w / sqrt(sum(w * w) OVER (PARTITION BY source_id)) AS weight FROM x),
+p AS (SELECT a.source_id, b.source_id AS target_id, round(sum(a.weight * b.weight), 6) AS cosine FROM u a JOIN u b ON a.word = b.word AND a.source_id <> b.source_id GROUP BY ALL),
+nearest AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target_id) AS rank FROM p WHERE cosine >= 0.12 QUALIFY rank <= 10)"""
+
 ORACLES = {
     "current_documents": f"{_EACH} SELECT source_id, file_name, source_path, extension, updated, source_hash, sha256(content) AS content_hash, coalesce(len(keywords), 0) AS n_keywords FROM docs",
     "names_and_links": f"""SELECT DISTINCT file_name, node_id, 'KB-' || upper(substr(sha256('WS1:' || node_id), 1, 12)) AS stable_id, {_key('file_name')} AS title_key, regexp_matches(file_name, '{_MARK}') AS has_version,
@@ -249,6 +258,7 @@ n AS (SELECT source_id, string_agg(word || '=' || printf('%.9f', weight), chr(10
 v AS (SELECT u.* FROM u WHERE source_id IN (SELECT min(source_id) FROM n GROUP BY name)),
 p AS (SELECT a.source_id, b.source_id AS target_id, round(sum(a.weight * b.weight), 6) AS cosine FROM v a JOIN v b ON a.word = b.word AND a.source_id <> b.source_id GROUP BY ALL)
 SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target_id) AS rank FROM p WHERE cosine >= 0.5 QUALIFY rank <= 10""",
+    "nearest_documents": f"{_EACH}, {_NEAREST} SELECT * FROM nearest",
     "scored_edges": f"{_EACH}{_EVIDENCE} {_SCORED}",
     "edge_degrees": f"{_EACH}{_EVIDENCE}, s AS ({_SCORED}) SELECT source_id, count(*) AS degree FROM (SELECT source_id FROM s UNION ALL SELECT target_id FROM s) GROUP BY 1",
     "folder_index": f"""{_EACH}{_UP} SELECT c.folder, len(string_split(c.folder, '/')) AS depth, documents, coalesce(folders, 0) AS folders, all_documents

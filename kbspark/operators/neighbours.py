@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kbspark.functions.titles import words
 from kbspark.plans.lineage import cut
+from kbspark.plans.skew import lookup
+
+#: Classes whose vectors one task compares with as many others, and rows of the product it holds at once.
+BLOCK, CHUNK = 16_384, 256
+
 
+def whole_profile() -> Column:
+    """Name, summary, theme, keywords and business objects of a document."""
+    return F.concat_ws("\n", "file_name", "summary", "core_theme", F.array_join("keywords", "\n"), F.array_join("business_objects", "\n"))
 
-def weighted_words(docs: DataFrame) -> DataFrame:
-    """(source_id, word, documents, weight): words of name, theme and keywords, (1 + ln count) (ln((1 + N) / (1 + n)) + 1), scaled to length 1 per document."""
-    text = F.concat_ws("\n", "file_name", "core_theme", F.array_join("keywords", "\n"))
+
+def weighted_words(docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """(source_id, word, documents, weight): words of ``text``, by default of name, theme and keywords, (1 + ln count) (ln((1 + N) / (1 + n)) + 1), scaled to length 1 per document."""
+    text = F.concat_ws("\n", "file_name", "core_theme", F.array_join("keywords", "\n")) if text is None else text
     counts = docs.select("source_id", F.explode(words(text)).alias("word")).groupBy("source_id", "word").agg(F.count(F.lit(1)).alias("c"))
     per_word = counts.groupBy("word").agg(F.count(F.lit(1)).alias("documents"))
     total = docs.agg(F.count(F.lit(1)).alias("n_all"))
@@ -43,3 +56,98 @@ def cosine_neighbours(docs: DataFrame, threshold: float = 0.5, most: int = 10) -
     ways = found.select(F.explode(F.array(F.struct("source_id", "target_id"), F.struct(F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id")))).alias("e"), "cosine").select("e.*", "cosine")
     rank = F.row_number().over(Window.partitionBy("source_id").orderBy(F.desc("cosine"), "target_id"))
     return ways.withColumn("rank", rank).where(F.col("rank") <= most)
+
+
+def _products(rows: np.ndarray, word: np.ndarray, weight: np.ndarray, n_words: int, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(chunk of ``left``, its products with all of ``right``) of sparse rows: hot words as dense columns, each other word by its postings."""
+    place = np.full(max(left.max(), right.max()) + 1, -1)
+    place[right] = np.arange(len(right))
+    own = (rows < len(place)) & (place[np.minimum(rows, len(place) - 1)] >= 0)
+    order = np.argsort(word[own], kind="stable")
+    col, wr, w = place[rows[own]][order], word[own][order], weight[own][order]
+    start = np.searchsorted(wr, np.arange(n_words + 1))
+    hot = np.diff(start) * 8 > len(right)
+    no = np.cumsum(hot) - 1
+    dense = np.zeros((int(hot.sum()), len(right)))
+    dense[no[wr[hot[wr]]], col[hot[wr]]] = w[hot[wr]]
+    for b in range(0, len(left), CHUNK):
+        chunk = left[b : b + CHUNK]
+        place = np.full(chunk.max() + 1, -1)
+        place[chunk] = np.arange(len(chunk))
+        own = (rows < len(place)) & (place[np.minimum(rows, len(place) - 1)] >= 0)
+        r, v, x = place[rows[own]], word[own], weight[own]
+        mine = np.zeros((len(chunk), len(dense)))
+        mine[r[hot[v]], no[v[hot[v]]]] = x[hot[v]]
+        score = mine @ dense
+        order = np.argsort(v, kind="stable")
+        r, v, x = r[order], v[order], x[order]
+        at = np.searchsorted(v, np.arange(n_words + 1))
+        for k in np.unique(v[~hot[v]]).tolist():
+            e, f = slice(at[k], at[k + 1]), slice(start[k], start[k + 1])
+            if f.start < f.stop:
+                score[np.ix_(r[e], col[f])] += x[e][:, None] * w[f][None, :]
+        yield chunk, score
+
+
+def best_in_blocks(pair: pa.Table) -> pa.Table:
+    """(source_id, target_id, cosine) of the vectors of one pair of blocks: the ``most`` nearest targets of each source."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    threshold, most = pair.column("threshold")[0].as_py(), pair.column("most")[0].as_py()
+    pair = pair.sort_by("first")
+    names = pair.column("first").to_numpy()
+    lists = pa.concat_arrays(pair.column("words").chunks)
+    flat = lists.flatten().dictionary_encode()
+    rows = np.repeat(np.arange(pair.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    weights = pa.concat_arrays(pair.column("weights").chunks).flatten().to_numpy(zero_copy_only=False)
+    left, right = (pair.column(c).to_numpy().nonzero()[0] for c in ("is_source", "is_target"))
+    if len(left) and len(right):
+        for chunk, score in _products(rows, flat.indices.to_numpy(), weights, len(flat.dictionary), left, right):
+            score = np.round(score, 6)
+            score[chunk[:, None] == right[None, :]] = -1.0
+            # of equal cosines at the last place the smaller id counts; targets ascend by id
+            least = np.full(len(chunk), threshold) if len(right) <= most else np.maximum(threshold, np.partition(score, len(right) - most, axis=1)[:, -most])
+            i, j = (score >= least[:, None]).nonzero()
+            order = np.lexsort((j, -score[i, j], i))
+            i, j = i[order], j[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i) < most
+            out.append((names[chunk[i[keep]]], names[right[j[keep]]], score[i[keep], j[keep]]))
+    a, t, c = ([x[k] for x in out] or [np.empty(0)] for k in range(3))
+    return pa.table({"source_id": pa.array(np.concatenate(a).tolist(), pa.string()), "target_id": pa.array(np.concatenate(t).tolist(), pa.string()), "cosine": pa.array(np.concatenate(c), pa.float64())})
+
+
+def nearest_documents(docs: DataFrame, threshold: float = 0.12, most: int = 10) -> DataFrame:
+    """(source_id, class_id, target_id, cosine, rank): of every document the ``most`` nearest ones, copies included, with a cosine of at least ``threshold``.
+
+    Words are those of the whole profile. Documents with the same weighted words are one
+    class, named by its smallest member, and classes are compared all with all in pairs of
+    blocks: exact at any threshold, the work grows as the square of the classes. A class
+    stands for its ``most`` + 1 smallest members, as many as the list of a document can hold
+    besides itself, so that nothing is expanded beyond ``most`` rows a document.
+    """
+    rows = weighted_words(docs, whole_profile())
+    word = F.array_sort(F.collect_list(F.struct("word", "weight")))
+    named = rows.groupBy("source_id").agg(word.alias("v")).withColumn("name", F.sha2(F.array_join(F.transform("v", lambda x: F.concat_ws("=", x["word"], F.format_string("%.9f", x["weight"]))), "\n"), 256))
+    named = cut(named, "named")
+    classes = named.groupBy("name").agg(F.min_by(F.struct("source_id", "v"), "source_id").alias("f")).select("name", F.col("f.source_id").alias("first"), F.col("f.v").alias("v"))
+    classes = cut(classes, "classes")
+    blocks = max(3, -(-classes.count() // BLOCK))
+    vectors = classes.select("first", F.pmod(F.xxhash64("first"), F.lit(blocks)).alias("own"), F.col("v.word").alias("words"), F.col("v.weight").alias("weights"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    sides = vectors.select("*", other.alias("other"))
+    as_source = sides.select(F.col("own").alias("i"), F.col("other").cast("long").alias("j"), "first", "words", "weights", F.lit(True).alias("is_source"), (F.col("own") == F.col("other")).alias("is_target"))
+    as_target = sides.where(F.col("own") != F.col("other")).select(F.col("other").cast("long").alias("i"), F.col("own").alias("j"), "first", "words", "weights", F.lit(False).alias("is_source"), F.lit(True).alias("is_target"))
+    pairs = as_source.unionByName(as_target).withColumns({"threshold": F.lit(float(threshold)), "most": F.lit(most)})
+    found = pairs.groupBy("i", "j").applyInArrow(best_in_blocks, "source_id string, target_id string, cosine double")
+    own = classes.select(F.col("first").alias("source_id"), F.col("first").alias("target_id"), F.lit(1.0).alias("cosine"))
+    place = F.row_number().over(Window.partitionBy("source_id").orderBy(F.desc("cosine"), "target_id"))
+    near = found.withColumn("place", place).where(F.col("place") <= most).drop("place").unionByName(own)
+    # ranks beyond most + 1 are cut off before the shuffle
+    named = named.select("source_id", "name").join(classes.select("name", "first"), "name").select("source_id", "first")
+    named = cut(named, "members")
+    nth = F.row_number().over(Window.partitionBy("first").orderBy("source_id"))
+    few = named.withColumn("nth", nth).where(F.col("nth") <= most + 1).select(F.col("first").alias("target_id"), F.col("source_id").alias("member"))
+    lists = near.join(few, "target_id").groupBy("source_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), F.col("member").alias("m")))), 1, most + 1).alias("l"))
+    each = lookup(named, lists.withColumnRenamed("source_id", "first"), "first", "inner")
+    each = each.withColumn("l", F.slice(F.filter("l", lambda x: x["m"] != F.col("source_id")), 1, most))
+    each = each.select("source_id", F.col("first").alias("class_id"), F.posexplode("l").alias("k", "x"))
+    return each.select("source_id", "class_id", F.col("x.m").alias("target_id"), (-F.col("x.c")).alias("cosine"), (F.col("k") + 1).alias("rank"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kbspark.functions import titles as T
 from kbspark.functions.text import canonical_extension, canonical_hash, canonical_id
-from kbspark.operators import folders, relations
+from kbspark.operators import folders, neighbours, relations
 from kbspark.plans.skew import lookup
 
 
@@ -89,3 +89,22 @@ def test_lookup_keeps_every_row_once(spark):
         skew.hot_keys.__defaults__ = old
     assert len(got) == 5000
     assert {tuple(r) for r in got} == plain
+
+
+PROFILE = "source_id string, file_name string, summary string, core_theme string, keywords array<string>, business_objects array<string>"
+
+
+def test_every_copy_has_its_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CHUNK", 2)
+    rows = [(f"c{i:02}", "alpha beta", None, None, ["gamma"], None) for i in range(14)]
+    rows += [("s1", "delta", "alpha epsilon", None, None, None), ("s2", "eta", "theta", None, None, ["iota"]), ("s3", "kappa", None, None, None, ["iota"]), ("none", None, None, None, None, None)]
+    got = {}
+    for r in neighbours.nearest_documents(spark.createDataFrame(rows, PROFILE)).orderBy("source_id", "rank").collect():
+        got.setdefault(r.source_id, []).append((r.class_id, r.target_id, r.cosine))
+    copies = [f"c{i:02}" for i in range(14)]
+    for c in copies:
+        assert got[c] == [("c00", o, 1.0) for o in copies if o != c][:10]
+    # by the summary and the business objects alone
+    assert [t for _, t, _ in got["s1"]] == copies[:10] and 0.12 <= got["s1"][0][2] < 0.5
+    assert [t for _, t, _ in got["s2"]] == ["s3"] and [t for _, t, _ in got["s3"]] == ["s2"]
+    assert "none" not in got
