@@ -195,11 +195,16 @@ def _met(at: np.ndarray, whose: np.ndarray) -> Iterator[tuple[np.ndarray, np.nda
         rest = np.minimum(size[near] - rank[near], size[far] - rank[far]) - 1
         good = (rest + SHARED >= least_overlap(size[near], size[far])) & (no[near] != no[far])
         a, b = no[near][good], no[far][good]
+        # of few sequences a pair shares fewer than SHARED, at least least_overlap: each of its meetings counts for several
+        share = least_overlap(size[near][good], size[far][good]).astype(np.int64)
+        if len(share) and share.min() < SHARED:
+            times = -(-SHARED // np.minimum(SHARED, share))
+            a, b = np.repeat(a, times), np.repeat(b, times)
         yield np.minimum(a, b), np.maximum(a, b)
 
 
 def candidates(posted: DataFrame) -> DataFrame:
-    """(a, b) class numbers of the pairs that meet at SHARED or more of their rarest sequences."""
+    """(a, b) class numbers of the pairs that meet at SHARED or more of their rarest sequences, or at as many as they must share if those are fewer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
@@ -345,9 +350,9 @@ def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``texts`` has source_id, content and summary; see ``compared`` for what is compared.
     Rare-first prefix filtering: sequences are ordered by how many texts have them (from
-    counts over all texts), texts that may be similar share SHARED of their rarest ones, and
-    pairs that meet there, fit in length and position, and occur SHARED times are verified
-    once. Nothing is capped: all pairs of different texts at or over the threshold are found.
+    counts over all texts), texts that may be similar share SHARED of their rarest ones (texts
+    of few sequences all that they must share), and pairs that meet there, fit in length and
+    position, and occur as often as that are verified once. Nothing is capped: all pairs of different texts at or over the threshold are found.
     Copies are members of one class; an empty table gives no rows.
     """
     rows = raw(texts)

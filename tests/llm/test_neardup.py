@@ -57,6 +57,15 @@ def test_groups_keep_copies_together(spark):
     assert got["KB-000"].class_id == got["KB-COPY"].class_id
 
 
+def test_short_patterns_repeated_equal_brute_force(spark):
+    patterns = ["ok", "a", "7", "abc", "xyzw", "abcde", "abcdef", "abcdefg", "标题一二三四", "12345678", "123456789"]
+    rows = [(f"KB-{i}-{n}", (p * n)[: 100 + n], None, None) for i, p in enumerate(patterns) for n in (101, 113, 130)]
+    rows += [(f"KB-{i}-END", p * 110 + "qr", None, None) for i, p in enumerate(patterns)]
+    want = brute(rows)
+    assert len(want) > 40
+    assert {tuple(r) for r in similar_records(spark.createDataFrame(rows, SCHEMA)).collect()} == want
+
+
 def test_empty_table(spark):
     assert similar_records(spark.createDataFrame([], SCHEMA)).count() == 0
 
