@@ -106,6 +106,10 @@ def _edges(spark, folder):
     return relations.scored_edges(relations.evidence(_docs(spark, folder)))
 
 
+def _whole_edges(spark, folder):
+    return relations.scored_edges(relations.whole_evidence(_docs(spark, folder)))
+
+
 def _missing(spark, folder):
     return incremental.missing_runs(_each(spark, folder), incremental.numbered_scans(table(spark, folder, "snapshots")))
 
@@ -136,7 +140,9 @@ QUERIES = {
     "nearest_documents": lambda s, d: neighbours.nearest_documents(_docs(s, d)).drop("class_id"),
     "scored_edges": _edges,
     "edge_degrees": lambda s, d: relations.degrees(_edges(s, d)),
-    "capped_edges": lambda s, d: relations.capped(_edges(s, d), 12),
+    "whole_edges": _whole_edges,
+    "whole_edge_degrees": lambda s, d: relations.degrees(_whole_edges(s, d)),
+    "capped_edges": lambda s, d: relations.capped_by_strength(_whole_edges(s, d), 30),
     "folder_index": lambda s, d: folders.folder_index(_docs(s, d)),
     "latest_per_department": lambda s, d: folders.top_per_folder(_docs(s, d)),
     "sampled_relations": lambda s, d: folders.hash_sample(table(s, d, "relation_verification").select("relation_id").distinct(), "relation_id", 0.2),
@@ -194,6 +200,24 @@ _W = {k: (s, w) for k, (s, w) in relations.STRENGTH.items()}
 _N = {k: "count(*) FILTER (rule IN (" + ", ".join(f"'{r}'" for r, (s, _) in _W.items() if s == k) + "))" for k in ("strong", "medium", "weak")}
 _BEST = "max(CASE rule " + " ".join(f"WHEN '{r}' THEN {w}" for r, (_, w) in _W.items()) + " END)"
 _SCORED = f"SELECT source_id, target_id, string_agg(DISTINCT rule, '/' ORDER BY rule) AS rules, {_N['strong']} AS strong, {_N['medium']} AS medium, {_N['weak']} AS weak, round({_N['strong']} * 100 + {_N['medium']} * 20 + {_N['weak']} * 2 + {_BEST}, 4)::DOUBLE AS score FROM ev GROUP BY ALL"
+_NEAREST = """w AS (SELECT source_id, unnest(regexp_extract_all(lower(concat_ws(chr(10), file_name, summary, core_theme, array_to_string(keywords, chr(10)), array_to_string(business_objects, chr(10)))), '[a-z][a-z0-9_-]{1,}|\\d{2,}|[一-鿿]{2,}')) AS w FROM docs),
+t AS (SELECT source_id, unnest(CASE WHEN regexp_full_match(w, '[一-鿿]{3,}') THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) ELSE [w] END) AS word FROM w),
+c AS (SELECT source_id, word, count(*) AS c FROM t GROUP BY ALL),
+x AS (SELECT *, (1 + ln(c)) * (ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*) OVER (PARTITION BY word))) + 1) AS w FROM c),
+u AS (SELECT source_id, word, w / sqrt(sum(w * w) OVER (PARTITION BY source_id)) AS weight FROM x),
+p AS (SELECT a.source_id, b.source_id AS target_id, round(sum(a.weight * b.weight), 6) AS cosine FROM u a JOIN u b ON a.word = b.word AND a.source_id <> b.source_id GROUP BY ALL),
+nearest AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target_id) AS rank FROM p WHERE cosine >= 0.12 QUALIFY rank <= 10)"""
+_WHOLE_EVIDENCE = f"""{_EVIDENCE}, {_NEAREST},
+sides AS (SELECT DISTINCT {_FOLD.format('x')} AS bucket, source_id, side FROM (SELECT unnest(outputs) AS x, source_id, 'output' AS side FROM docs UNION ALL SELECT unnest(inputs), source_id, 'input' FROM docs)),
+objects AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS n FROM (SELECT DISTINCT {_FOLD.format('x')} AS bucket, source_id, coalesce(nullif({strip_sql('document_role')}, ''), nullif({strip_sql('page_type_candidate')}, '')) AS role FROM (SELECT unnest(business_objects) AS x, * FROM docs)) WHERE length(bucket) >= 2),
+fits(a, b) AS (VALUES {', '.join(f"('{a}', '{b}'), ('{b}', '{a}')" for a, b in relations.ROLE_PAIRS)}),
+whole AS (SELECT source_id, target_id, rule, NULL::DOUBLE AS cosine FROM ev
+UNION ALL SELECT DISTINCT a.source_id, b.source_id, 'output to input', NULL FROM sides a JOIN sides b ON a.bucket = b.bucket AND a.source_id <> b.source_id AND a.side = 'output' AND b.side = 'input' WHERE length(a.bucket) >= 2
+UNION ALL SELECT DISTINCT x.source_id, y.source_id, 'complementary roles', NULL FROM objects x JOIN objects y ON x.bucket = y.bucket AND x.source_id < y.source_id WHERE x.n <= 40 AND EXISTS (SELECT 1 FROM fits WHERE contains(x.role, a) AND contains(y.role, b))
+UNION ALL SELECT least(source_id, target_id), greatest(source_id, target_id), 'near words', max(cosine) FROM nearest GROUP BY ALL)"""
+_WV = {k: "count(*) FILTER (rule IN (" + ", ".join(f"'{r}'" for r, (s, _) in relations.WHOLE_STRENGTH.items() if s == k) + "))" for k in ("strong", "medium", "weak")}
+_WBEST = "max(coalesce(cosine, CASE rule " + " ".join(f"WHEN '{r}' THEN {w}" for r, (_, w) in relations.WHOLE_STRENGTH.items()) + " END))"
+_WHOLE = f"SELECT source_id, target_id, string_agg(DISTINCT rule, '/' ORDER BY rule) AS rules, {_WV['strong']} AS strong, {_WV['medium']} AS medium, {_WV['weak']} AS weak, round({_WV['strong']} * 100 + {_WV['medium']} * 20 + {_WV['weak']} * 2 + {_WBEST}, 4)::DOUBLE AS score FROM whole GROUP BY source_id, target_id"
 _CHANGES = """, pairs AS (
   SELECT coalesce(n.k, o.k + 1) AS k, coalesce(n.source_id, o.source_id) AS source_id, n.source_id IS NOT NULL AS here, o.source_id IS NOT NULL AS before,
     list_filter([
@@ -210,14 +234,6 @@ _CHANGES = """, pairs AS (
 _UP = """, up AS (SELECT source_id, source_path, string_split(source_path, '/') AS p FROM docs WHERE contains(source_path, '/')),
 below AS (SELECT source_id, i, len(p) - 1 AS n, array_to_string(p[1:i], '/') AS folder FROM (SELECT *, unnest(range(1, len(p))) AS i FROM up))"""
 
-_NEAREST = """w AS (SELECT source_id, unnest(regexp_extract_all(lower(concat_ws(chr(10), file_name, summary, core_theme, array_to_string(keywords, chr(10)), array_to_string(business_objects, chr(10)))), '[a-z][a-z0-9_-]{1,}|\\d{2,}|[一-鿿]{2,}')) AS w FROM docs),
-t AS (SELECT source_id, unnest(CASE WHEN regexp_full_match(w, '[一-鿿]{3,}') THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) ELSE [w] END) AS word FROM w),
-c AS (SELECT source_id, word, count(*) AS c FROM t GROUP BY ALL),
-x AS (SELECT *, (1 + ln(c)) * (ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*) OVER (PARTITION BY word))) + 1) AS w FROM c),
-u AS (SELECT source_id, word, w / sqrt(sum(w * w) OVER (PARTITION BY source_id)) AS weight FROM x),
-p AS (SELECT a.source_id, b.source_id AS target_id, round(sum(a.weight * b.weight), 6) AS cosine FROM u a JOIN u b ON a.word = b.word AND a.source_id <> b.source_id GROUP BY ALL),
-nearest AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target_id) AS rank FROM p WHERE cosine >= 0.12 QUALIFY rank <= 10)"""
-
 ORACLES = {
     "current_documents": f"{_EACH} SELECT source_id, file_name, source_path, extension, updated, source_hash, sha256(content) AS content_hash, coalesce(len(keywords), 0) AS n_keywords FROM docs",
     "names_and_links": f"""SELECT DISTINCT file_name, node_id, 'KB-' || upper(substr(sha256('WS1:' || node_id), 1, 12)) AS stable_id, {_key('file_name')} AS title_key, regexp_matches(file_name, '{_MARK}') AS has_version,
@@ -261,6 +277,8 @@ SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target
     "nearest_documents": f"{_EACH}, {_NEAREST} SELECT * FROM nearest",
     "scored_edges": f"{_EACH}{_EVIDENCE} {_SCORED}",
     "edge_degrees": f"{_EACH}{_EVIDENCE}, s AS ({_SCORED}) SELECT source_id, count(*) AS degree FROM (SELECT source_id FROM s UNION ALL SELECT target_id FROM s) GROUP BY 1",
+    "whole_edges": f"{_EACH}{_WHOLE_EVIDENCE} {_WHOLE}",
+    "whole_edge_degrees": f"{_EACH}{_WHOLE_EVIDENCE}, s AS ({_WHOLE}) SELECT source_id, count(*) AS degree FROM (SELECT source_id FROM s UNION ALL SELECT target_id FROM s) GROUP BY 1",
     "folder_index": f"""{_EACH}{_UP} SELECT c.folder, len(string_split(c.folder, '/')) AS depth, documents, coalesce(folders, 0) AS folders, all_documents
 FROM (SELECT folder, count(*) FILTER (i = n) AS documents, count(*) AS all_documents FROM below GROUP BY 1) c
 LEFT JOIN (SELECT regexp_extract(folder, '^(.*)/[^/]*$', 1) AS folder, count(*) AS folders FROM (SELECT DISTINCT folder FROM below WHERE contains(folder, '/')) GROUP BY 1) f USING (folder)""",

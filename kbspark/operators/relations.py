@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kbspark.functions.text import blank_to_null
 from kbspark.functions.titles import NODE_LINK, STABLE_ID, TITLE_CITED, VERSION_MARK, business_ids, folded, title_key
 from kbspark.operators.documents import parent_folder
+from kbspark.operators.neighbours import nearest_documents
 from kbspark.plans.lineage import cut
 
 #: Largest buckets that are expanded into pairs.
@@ -111,6 +112,12 @@ def complementary_roles(docs: DataFrame) -> DataFrame:
 
 #: Strength of the rules in the merged evidence.
 STRENGTH = {"linked node": ("strong", 1.0), "mentioned id": ("strong", 1.0), "same content": ("strong", 1.0), "cited title": ("medium", 0.72), "same title": ("medium", 0.75), "same business id": ("medium", 0.68), "same folder": ("weak", 0.2)}
+#: The same with the rules that only ``whole_evidence`` has; the weight of near words is their cosine.
+WHOLE_STRENGTH = STRENGTH | {"output to input": ("medium", 0.74), "complementary roles": ("medium", 0.66), "near words": ("weak", 0.0)}
+#: Largest object whose documents complete each other by role: the rule leaves larger ones out.
+ROLE_LIMIT = 40
+#: Documents of one side of a bucket that are joined in one piece.
+BLOCK = 512
 
 
 def evidence(docs: DataFrame) -> DataFrame:
@@ -124,11 +131,48 @@ def evidence(docs: DataFrame) -> DataFrame:
     return out
 
 
+def output_input_pairs(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id): documents that put out what another takes in; sides of a bucket are joined block by block."""
+    rows = output_to_input(docs)
+    blocks = {side: F.ceil(F.col(f"{side}s") / BLOCK) for side in ("output", "input")}
+    own = {side: F.pmod(F.xxhash64("source_id"), blocks[side]) for side in blocks}
+    every = {side: F.explode(F.sequence(F.lit(0).cast("bigint"), blocks[side] - 1)) for side in blocks}
+    left = rows.where("side = 'output'").select("bucket", "source_id", own["output"].alias("i"), every["input"].alias("j"))
+    right = rows.where("side = 'input'").select("bucket", F.col("source_id").alias("target_id"), every["output"].alias("i"), own["input"].alias("j"))
+    return left.join(right, ["bucket", "i", "j"]).where(F.col("source_id") != F.col("target_id")).select("source_id", "target_id").distinct()
+
+
+def complementary_pairs(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id), the smaller id first: documents that share an object of at most ROLE_LIMIT documents and whose roles complete each other."""
+    role = F.coalesce(blank_to_null("document_role"), blank_to_null("page_type_candidate"))
+    rows = docs.select("source_id", role.alias("role"), F.explode("business_objects").alias("x"))
+    rows = rows.select(folded(F.col("x")).alias("bucket"), "source_id", "role").where(F.length("bucket") >= 2).distinct()
+    fit = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, ROLE_LIMIT)).select("bucket")
+    rows = rows.join(fit, "bucket").where(F.col("role").isNotNull())
+    both = [(a, b) for a, b in ROLE_PAIRS] + [(b, a) for a, b in ROLE_PAIRS]
+    fits = F.exists(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in both]), lambda p: F.contains(F.col("role"), p["a"]) & F.contains(F.col("other"), p["b"]))
+    other = rows.select("bucket", F.col("source_id").alias("target_id"), F.col("role").alias("other"))
+    return rows.join(other, "bucket").where((F.col("source_id") < F.col("target_id")) & fits).select("source_id", "target_id").distinct()
+
+
+def near_pairs(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id, cosine), the smaller id first: documents of which one is among the nearest of the other."""
+    near = nearest_documents(docs)
+    return near.groupBy(F.least("source_id", "target_id").alias("a"), F.greatest("source_id", "target_id").alias("b")).agg(F.max("cosine").alias("cosine")).select(F.col("a").alias("source_id"), F.col("b").alias("target_id"), "cosine")
+
+
+def whole_evidence(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id, rule, cosine): ``evidence`` and what outputs and inputs, roles and near words say; cosine for near words only."""
+    more = output_input_pairs(docs).withColumn("rule", F.lit("output to input")).unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
+    near = near_pairs(docs).withColumn("rule", F.lit("near words"))
+    return evidence(docs).unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+
+
 def scored_edges(found: DataFrame) -> DataFrame:
     """(source_id, target_id, rules, strong, medium, weak, score) of every pair with any evidence."""
-    strength = F.create_map(*[F.lit(x) for k, (s, _) in STRENGTH.items() for x in (k, s)])
-    weight = F.create_map(*[F.lit(x) for k, (_, w) in STRENGTH.items() for x in (k, w)])
-    rows = found.withColumn("s", strength[F.col("rule")]).withColumn("w", weight[F.col("rule")])
+    strength = F.create_map(*[F.lit(x) for k, (s, _) in WHOLE_STRENGTH.items() for x in (k, s)])
+    weight = F.create_map(*[F.lit(x) for k, (_, w) in WHOLE_STRENGTH.items() for x in (k, w)])[F.col("rule")]
+    rows = found.withColumn("s", strength[F.col("rule")]).withColumn("w", F.coalesce("cosine", weight) if "cosine" in found.columns else weight)
     n = {k: F.count_if(F.col("s") == k) for k in ("strong", "medium", "weak")}
     return rows.groupBy("source_id", "target_id").agg(
         F.array_join(F.array_sort(F.collect_set("rule")), "/").alias("rules"),
@@ -142,6 +186,12 @@ def degrees(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("source_id", "target_id")).alias("source_id")).groupBy("source_id").agg(F.count(F.lit(1)).alias("degree"))
 
 
+def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:
+    """``capped`` with strong evidence before any number of medium ones; scores stay under 1000."""
+    kept = capped(edges.withColumn("score", F.col("strong") * 1000 + F.col("score")), most)
+    return kept.withColumn("score", F.round(F.pmod("score", F.lit(1000.0)), 4))
+
+
 def capped(edges: DataFrame, most: int = 30, rounds: int = 1000) -> DataFrame:
     """The edges a greedy choice keeps that goes through them from the best to the last and lets no document have more than ``most``.
 

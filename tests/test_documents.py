@@ -108,3 +108,17 @@ def test_every_copy_has_its_neighbours(spark, monkeypatch):
     assert [t for _, t, _ in got["s1"]] == copies[:10] and 0.12 <= got["s1"][0][2] < 0.5
     assert [t for _, t, _ in got["s2"]] == ["s3"] and [t for _, t, _ in got["s3"]] == ["s2"]
     assert "none" not in got
+
+
+def test_whole_evidence_has_all_rules(spark, monkeypatch):
+    monkeypatch.setattr(relations, "BLOCK", 2)
+    schema = PROFILE + ", content string, node_id string, source_path string, document_role string, page_type_candidate string, inputs array<string>, outputs array<string>, version_signals array<string>, explicit_references array<struct<target_text: string>>"
+    # cited title and output to input; one object and completing roles; the same words
+    rows = [("A", "plan one", None, None, None, None, "见《budget two》", None, "x/a", None, None, None, ["Out Put"], None, None), ("B", "budget two", None, None, None, None, None, None, "y/b", None, None, ["output"], None, None, None)]
+    rows += [(f"C{i}", f"name{i}aa", None, None, None, ["object"], None, None, f"c{i}/c", "制度" if i else "流程模板", None, None, None, None, None) for i in range(3)]
+    rows += [(f"D{i}", f"doc{i}bb", None, None, None, None, None, None, f"d{i}/d", None, None, ["many"] if i % 2 else None, None if i % 2 else ["many"], None, None) for i in range(10)]
+    got = {(r.source_id, r.target_id): r for r in relations.scored_edges(relations.whole_evidence(spark.createDataFrame(rows, schema))).collect()}
+    assert (got["A", "B"].rules, got["A", "B"].medium, got["A", "B"].score) == ("cited title/output to input", 2, 40.74)
+    assert got["C0", "C1"].rules == "complementary roles/near words" and got["C1", "C2"].rules == "near words"
+    assert 22.66 == got["C0", "C1"].score and got["C1", "C2"].score > 2.12
+    assert {k for k in got if k[0][0] == "D"} == {(f"D{i}", f"D{j}") for i in range(0, 10, 2) for j in range(1, 10, 2)}
