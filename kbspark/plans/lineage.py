@@ -4,19 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
+    """The folder the cluster names in spark.checkpoint.dir; one of our own only where none is set and all executors are on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+        folder = _own_folder()
     return folder.rstrip("/")
 
 
+@lru_cache(1)
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once and go on from the written table, so that a lost executor costs a reread only."""
     path = f"{shared_folder(df.sparkSession)}/kbspark/{tag}-{uuid.uuid4().hex}"
@@ -24,12 +31,14 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_cut(df: DataFrame) -> None:
-    """Delete a table that ``cut`` wrote and that no later step reads."""
-    spark = df.sparkSession
-    marker = f"{shared_folder(spark)}/kbspark/".replace("file:///", "file:/")
-    folders = {f.replace("file:///", "file:/").rpartition("/")[0] for f in df.inputFiles()}
-    for folder in folders:
-        if folder.startswith(marker):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_cut(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote and that no later step reads; what else a DataFrame reads is left alone."""
+    for df in tables:
+        spark = df.sparkSession
+        ours = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/kbspark")
+        files = ours.getFileSystem(spark._jsc.hadoopConfiguration())
+        root = files.makeQualified(ours).toUri().getPath()
+        for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+            if folder.getParent().toUri().getPath() == root:
+                files.delete(folder, True)

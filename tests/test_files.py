@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kbspark.plans import lineage
+from kbspark.plans.lineage import cut, drop_cut, shared_folder
 from kbspark.sources import files
 
 SCHEMA = StructType().add("a", "string").add("b", "string").add("n", "long")
@@ -41,3 +43,27 @@ def test_texts_and_signatures(spark, tmp_path):
     assert {r.source_id: r.valid for r in files.read_binaries(spark, f"file://{b}").collect()} == {"x": True, "y": False, "z": True, "t": True}
     df = spark.createDataFrame([(b"a\x00b",), ("é".encode(),)], "c binary").select(files.decoded(F.col("c")).alias("t"))
     assert [r.t for r in df.collect()] == [None, "é"]
+
+
+def test_cut_tables_are_dropped_and_others_left(spark, tmp_path, monkeypatch):
+    own = f"{tmp_path}/own"
+    spark.range(3).write.parquet(own)
+    for folder in (f"{tmp_path}/shared", f"file://{tmp_path}/shared"):
+        monkeypatch.setattr(lineage, "shared_folder", lambda _, folder=folder: folder)
+        a, b = cut(spark.range(5), "a"), cut(spark.range(6), "b")
+        drop_cut(a, spark.read.parquet(own))
+        assert [p.name[:2] for p in (tmp_path / "shared/kbspark").iterdir()] == ["b-"]
+        assert b.count() == 6 and spark.read.parquet(own).count() == 3
+        drop_cut(b)
+
+
+def test_no_private_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+
+    class Session:
+        conf, sparkContext = {}, Context
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
