@@ -6,11 +6,11 @@ import base64
 import codecs
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,60 +22,183 @@ NAME = "byte_bpe_50k"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters that the pattern may look at from the start of a match before it knows its kind.
 PATTERN_LOOKAHEAD = 3
-WINDOW = 1 << 16
-LONG_WORD = 1 << 13
+#: Characters that are read at once, and a word's length from which it is read in windows too.
+WINDOW, LONG_WORD = 1 << 16, 1 << 13
+#: Words and pieces of words that a worker remembers; the memory starts anew when it is full.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 18, 64
+_NEVER = 1 << 31
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
 
 
+def read_splits(ranks: dict[bytes, int]) -> np.ndarray:
+    """(rank, left, right) of the tokens that arise: by which two tokens each is merged last (single bytes: -1, -1).
+
+    A token whose own bytes are merged into others never arises in any text and is left out.
+    """
+    out = []
+    for token, rank in ranks.items():
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            joined = [ranks.get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+            k = joined.index(min(joined))
+            if joined[k] == _NEVER:
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        if len(parts) <= 2:
+            out.append((rank, *((ranks[parts[0]], ranks[parts[1]]) if len(parts) == 2 else (-1, -1))))
+    return np.array(out, dtype=np.int32).reshape(-1, 3)
+
+
+class Remembered(dict):
+    """A bounded memory of what a function says."""
+
+    def __init__(self, f):
+        self.f = f
+
+    def __missing__(self, key):
+        value = self.f(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Vocabulary:
-    """Ranks of a byte-level BPE, and what the merge list says about how far a token can change."""
+    """Ranks of a byte-level BPE, and what its merges say about how far a token can still change."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
-        self.ranks = ranks
-        self.pattern = regex.compile(pattern)
-        self.bpe = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    def __init__(self, ranks: dict[bytes, int], splits: np.ndarray | None = None, pattern: str = PATTERN):
+        self.ranks, self.pattern = ranks, regex.compile(pattern)
+        splits = read_splits(ranks) if splits is None else splits
         self.token = {i: b for b, i in ranks.items()}
-        #: Any longer text has a token boundary within so many bytes before any position, so
-        #: that a boundary common to the encodings that end there is final.
-        self.lookahead = max(map(len, ranks))
+        self.split = {r: (a, b) for r, a, b in splits.tolist()}
+        arise = [self.token[r] for r in self.split]
+        #: Bytes a token can have: no text further on can change a boundary so far back, if all
+        #: encodings that end within that distance share it.
+        self.lookahead = max(map(len, arise))
+        #: Beginnings of tokens: only a place from which the text goes on as one of these can
+        #: still become the start of a token that is not complete yet.
+        self.open = {t[:i] for t in arise for i in range(1, len(t))}
+        #: Neighbouring bytes within any token; between two others there always is a boundary,
+        #: and one byte of lookahead is sufficient there.
+        self.inner = {t[i : i + 2] for t in arise for i in range(len(t) - 1)}
+        self.inside = np.zeros(1 << 16, dtype=bool)
+        self.inside[[int.from_bytes(x) for x in self.inner]] = True
+        self.longest: dict[bytes, int] = {}
+        for t in arise:
+            self.longest[t[-2:]] = max(len(t), self.longest.get(t[-2:], 0))
         self.follows = lru_cache(1 << 18)(self._follows)
+        self.words, self.pieces = Remembered(self._word), Remembered(self._piece)
+
+    def _edge(self, t: int, side: int) -> list[tuple[bytes, int]]:
+        """The tokens that stand at one side of t while it is merged, each with the rank of the merge that takes it in."""
+        out, until = [], _NEVER
+        while True:
+            out.append((self.token[t], until))
+            if self.split[t][side] < 0:
+                return out[::-1]
+            t, until = self.split[t][side], t
 
     def _follows(self, a: int, b: int) -> bool:
-        """Whether b may stand after a: the two bytes strings together encode as just these two."""
-        return self.bpe._encode_single_piece(self.token[a] + self.token[b]) == [a, b]
+        """Whether b may stand after a: no merge across the boundary comes before those that make up a and b."""
+        left, right = self._edge(a, 1), self._edge(b, 0)
+        i = j = 0
+        while True:
+            (x, x_until), (y, y_until) = left[i], right[j]
+            across = self.ranks.get(x + y, _NEVER)
+            # equal merges go from left to right
+            if across < x_until and across <= y_until and across != _NEVER:
+                return False
+            if x_until == y_until == _NEVER:
+                return True
+            if x_until <= y_until:
+                i += 1
+            else:
+                j += 1
+
+    def _word(self, word: str) -> list[int]:
+        t = WordTransducer(self)
+        return t.feed(word.encode()) + t.finish()
+
+    def remember(self, words: set[str]) -> None:
+        """Encode words that are new, cut at all boundaries that no token can cross; what lies between is mostly known."""
+        short = [w for w in words if len(w) <= LONGEST_REMEMBERED]
+        if not short:
+            return
+        if len(self.words) + len(short) > REMEMBERED:
+            self.words.clear()
+        raw = [w.encode() for w in short]
+        data, ends = b"".join(raw), np.cumsum([len(r) for r in raw])
+        code = np.frombuffer(data, dtype=np.uint8).astype(np.intp)
+        cut = np.ones(len(code), dtype=bool)  # whether there is a boundary after a byte
+        cut[:-1] = ~self.inside[(code[:-1] << 8) | code[1:]]
+        cut[ends - 1] = True
+        at = cut.nonzero()[0] + 1
+        bounds = at.tolist()
+        ids = [self.pieces[data[a:b]] for a, b in zip([0, *bounds], bounds)]
+        first = 0
+        for w, last in zip(short, np.searchsorted(at, ends, "right").tolist()):
+            self.words[w] = ids[first] if last - first == 1 else list(chain.from_iterable(ids[first:last]))
+            first = last
+
+    def _piece(self, data: bytes) -> list[int]:
+        t = WordTransducer(self)
+        t.data += data
+        t._advance()
+        return t._emit(len(data))
 
 
 class WordTransducer:
-    """Encodes one unending word: bytes in, final token ids out, memory bounded by the lookahead.
+    """Encodes one word, however long: bytes in, final token ids out, memory bounded by the lookahead.
 
     ``last[i]`` is the last token of the encoding of the first i bytes; it is the only one
     among the tokens ending there that may follow the last token of the bytes before it.
+    Tokens go out once stable: at a boundary that no token can cross at once, elsewhere as
+    soon as all places where an open token may have begun agree.
     """
 
     def __init__(self, v: Vocabulary):
-        self.v, self.base, self.data, self.last = v, 0, bytearray(), [-1]
+        self.v, self.data, self.last = v, bytearray(), [-1]
 
     def feed(self, chunk: bytes) -> list[int]:
-        out: list[int] = []
-        for begin in range(0, len(chunk), 1024):
-            self.data += chunk[begin : begin + 1024]
-            self._advance()
-            out += self._stable()
+        inner, begin, out = self.v.inner, 0, []
+        whole = (bytes(self.data[-1:]) + chunk) if self.data else chunk
+        shift = len(whole) - len(chunk)
+        for i in range(1, len(whole)):
+            if whole[i - 1 : i + 1] not in inner:
+                out += self._close(chunk[begin : i - shift])
+                begin = i - shift
+        for b in range(begin, len(chunk), 1024):
+            self.data += chunk[b : b + 1024]
+            if len(self.data) > LONGEST_REMEMBERED:
+                self._advance()
+                out += self._stable()
         return out
 
+    def _close(self, rest: bytes) -> list[int]:
+        """Ids of the open bytes and ``rest``, after which there is a boundary in any case."""
+        if len(self.last) == 1 and self.last[0] == -1:
+            ids = self.v.pieces[bytes(self.data) + rest]
+        else:
+            self.data += rest
+            self._advance()
+            ids = self._emit(len(self.data))
+        self.data, self.last = bytearray(), [-1]
+        return ids
+
     def _advance(self) -> None:
-        ranks, follows, most = self.v.ranks, self.v.follows, self.v.lookahead
-        for i in range(len(self.last), len(self.data) + 1):
-            for j in range(max(0, i - most), i):
-                t = ranks.get(bytes(self.data[j:i]))
-                if t is not None and self.last[j] != -2 and (self.last[j] == -1 or follows(self.last[j], t)):
-                    self.last.append(t)
+        data, last = bytes(self.data), self.last
+        ranks, split, follows, longest = self.v.ranks, self.v.split, self.v.follows, self.v.longest
+        for i in range(len(last), len(data) + 1):
+            for j in range(max(0, i - max(1, longest.get(data[max(0, i - 2) : i], 1))), i):
+                t = ranks.get(data[j:i])
+                if t is not None and t in split and (last[j] == -1 or follows(last[j], t)):
+                    last.append(t)
                     break
             else:
-                self.last.append(-2)  # the ranks lack a single byte: not this kind of vocabulary
                 raise ValueError("a byte is no token")
 
     def _path(self, i: int) -> list[int]:
@@ -86,13 +209,12 @@ class WordTransducer:
         return ends[::-1]
 
     def _stable(self) -> list[int]:
-        """Tokens up to the last boundary that all encodings ending within the lookahead share."""
-        n, first = len(self.data), len(self.data) - self.v.lookahead + 1
-        if first < 1:
-            return []  # a token may still begin at the start and end beyond what is here
+        """Tokens up to the last boundary that the encodings up to all places share where an open token may begin."""
+        n, data, open_ = len(self.data), bytes(self.data), self.v.open
         common = set(self._path(n))
-        for i in range(first, n):
-            common &= set(self._path(i))
+        for i in range(max(0, n - self.v.lookahead + 1), n):
+            if data[i:] in open_:
+                common &= set(self._path(i))
         return self._emit(max(common, default=0))
 
     def _emit(self, upto: int) -> list[int]:
@@ -106,7 +228,7 @@ class WordTransducer:
         return ids
 
     def finish(self) -> list[int]:
-        return self._emit(len(self.data))
+        return self._close(b"")
 
 
 #: The kinds of characters of which the pattern makes endless words.
@@ -173,19 +295,10 @@ class StreamEncoder:
         return out
 
     def _encode(self, text: str) -> list[int]:
-        if len(text) <= self.long_word:
-            return self.v.bpe.encode_ordinary(text)
-        words = [m.group() for m in self.v.pattern.finditer(text)]
-        if max(map(len, words)) <= self.long_word:
-            return self.v.bpe.encode_ordinary(text)
-        out: list[int] = []
-        for w in words:
-            if len(w) > self.long_word:
-                t = WordTransducer(self.v)
-                out += t.feed(w.encode()) + t.finish()
-            else:
-                out += self.v.bpe._encode_single_piece(w)
-        return out
+        """Ids of whole words, each by the transducer or as remembered from it."""
+        words = self.v.pattern.findall(text)
+        self.v.remember({w for w in words if w not in self.v.words})
+        return list(chain.from_iterable(map(self.v.words.__getitem__, words)))
 
 
 class StreamDecoder:
@@ -199,9 +312,7 @@ class StreamDecoder:
 
 
 def encode(v: Vocabulary, text: str, window: int = WINDOW) -> list[int]:
-    """Ids of one text; texts of one window are final at once."""
-    if len(text) <= window:
-        return StreamEncoder(v).feed(text, True)
+    """Ids of one text, read in windows."""
     s = StreamEncoder(v)
     out: list[int] = []
     for begin in range(0, len(text), window):
@@ -215,19 +326,26 @@ def decode(v: Vocabulary, ids, window: int = WINDOW) -> str:
 
 
 def share_ranks(spark: SparkSession, folder: str = FOLDER, name: str = NAME) -> Broadcast:
-    """The ranks file (under 1 MB, fixed) for all executors; read once, on the driver."""
+    """The ranks file and its merges (about 2 MB, fixed) for all executors; read once, on the driver."""
     with open(f"{folder}/{name}.tiktoken", "rb") as f:
-        return spark.sparkContext.broadcast(f.read())
+        raw = f.read()
+    return spark.sparkContext.broadcast((raw, _splits(raw)))
+
+
+@lru_cache(4)
+def _splits(raw: bytes) -> bytes:
+    return read_splits(read_ranks(raw)).tobytes()
 
 
 _LOADED: dict[int, Vocabulary] = {}
 
 
-def vocabulary(raw: bytes) -> Vocabulary:
+def vocabulary(shared: tuple[bytes, bytes]) -> Vocabulary:
     """One vocabulary per Python worker."""
+    raw, splits = shared
     key = hash(raw)
     if key not in _LOADED:
-        _LOADED[key] = Vocabulary(read_ranks(raw))
+        _LOADED[key] = Vocabulary(read_ranks(raw), np.frombuffer(splits, dtype=np.int32).reshape(-1, 3))
     return _LOADED[key]
 
 

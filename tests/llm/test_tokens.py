@@ -2,8 +2,10 @@ import os
 import random
 
 import pytest
+import tiktoken
 
-from kbspark.llm.tokens import FOLDER, NAME, StreamEncoder, Vocabulary, WordTransducer, decode, decode_corpus, encode, encode_corpus, read_ranks
+from kbspark.llm import tokens
+from kbspark.llm.tokens import FOLDER, NAME, PATTERN, StreamEncoder, Vocabulary, WordTransducer, decode, decode_corpus, encode, encode_corpus, read_ranks
 
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{FOLDER}/{NAME}.tiktoken"), reason="no tokenizer files")
 PARTS = ["a", "the", "ing", " ", "  ", "\n", "\t", "'s", "'l", "'ll", "了", "审计", "é", "😀", "12", "!", "==", "-", "　", "ñ", "'r", "'"]
@@ -15,8 +17,14 @@ def v():
         return Vocabulary(read_ranks(f.read()))
 
 
+@pytest.fixture(scope="module")
+def library(v):
+    """The tokenizer's own library, for comparison only."""
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=v.ranks, special_tokens={})
+
+
 @pytest.mark.parametrize("seed", range(8))
-def test_any_chunks_give_the_same_ids(v, seed):
+def test_any_chunks_give_the_same_ids(v, library, seed):
     rnd = random.Random(seed)
     for _ in range(120):
         text = "".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 60)))
@@ -25,23 +33,44 @@ def test_any_chunks_give_the_same_ids(v, seed):
         for b in range(0, len(text), w):
             out += s.feed(text[b : b + w])
         out += s.feed("", True)
-        assert out == v.bpe.encode_ordinary(text)
+        assert out == library.encode_ordinary(text)
         assert decode(v, out, 3) == text
 
 
 @pytest.mark.parametrize("word", ["a" * 9000, "的" * 4000, "=" * 9000, "ab" * 4000, "thequickbrownfox" * 400])
-def test_endless_words_in_bounded_memory(v, word):
+def test_endless_words_in_bounded_memory(v, library, word):
     t, raw, out, most = WordTransducer(v), word.encode(), [], 0
     for b in range(0, len(raw), 700):
         out += t.feed(raw[b : b + 700])
         most = max(most, len(t.last))
-    assert out + t.finish() == v.bpe._encode_single_piece(raw)
+    assert out + t.finish() == library._encode_single_piece(raw)
     assert most < 4 * v.lookahead
 
 
-def test_windows_of_a_long_text(v):
+def test_words_of_any_bytes(v, library):
+    rnd = random.Random(7)
+    shared = [b for b in v.ranks if 2 <= len(b) <= 6]
+    for _ in range(4000):
+        raw = b"".join(rnd.choice([bytes([rnd.randrange(256)]), rnd.choice(shared)]) for _ in range(rnd.randint(1, 12)))
+        t, out = WordTransducer(v), []
+        for b in range(0, len(raw), 3):
+            out += t.feed(raw[b : b + 3])
+        assert out + t.finish() == library._encode_single_piece(raw)
+
+
+def test_a_full_memory_changes_nothing(v, library, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    text = "审计终稿清楚，the end of it all. naïve coöperation 😀" * 20
+    assert encode(Vocabulary(v.ranks), text) == library.encode_ordinary(text)
+
+
+def test_the_library_has_no_part_in_it():
+    assert not hasattr(tokens, "tiktoken")
+
+
+def test_windows_of_a_long_text(v, library):
     text = "审计终稿清楚，the end. " * 9000
-    assert encode(v, text, 1000) == v.bpe.encode_ordinary(text)
+    assert encode(v, text, 1000) == library.encode_ordinary(text)
 
 
 def test_operator_on_dirty_rows(spark):
