@@ -114,10 +114,10 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def grams(h: np.ndarray, doc: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """Bucket of the n-gram that begins at each unit; n-grams don't leave their document."""
+    """The first ``bits`` bits of the hash of the n-gram that begins at each unit; n-grams don't leave their document."""
     g = mix(h, n)
     for i in range(1, n):
         nxt = np.zeros_like(h)
         nxt[: len(h) - i] = np.where(doc[i:] == doc[: len(h) - i], h[i:], np.uint64(0))
         g = mix(g, nxt + np.uint64(i))
-    return (g >> np.uint64(64 - bits)).astype(np.int64)
+    return (g >> np.uint64(64 - bits)).view(np.int64)

@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from kbspark.llm.toxicity import segments, source_rates, toxic_documents, toxicity
+from kbspark.llm.toxicity import FALSE_SHARE, labelled_grams, most_by_chance, segments, source_rates, toxic_documents, toxicity
 from kbspark.llm.units import units
 
 
@@ -50,9 +51,27 @@ def test_held_out_accuracy_and_dirty_rows(spark):
     got = {r.doc_id for r in toxic_documents(scored).collect()}
     want = {i for i in range(300, 600) if i % 6 == 0}
     held = {i for i in got if i >= 300}
-    assert len(held & want) >= 0.9 * len(want) and len(held - want) <= 5
+    assert len(held & want) >= 0.95 * len(want) and len(held - want) <= 1
     assert scored.count() == len(rows)
     rates = {r.source: r.documents for r in source_rates(scored).collect()}
     assert rates["wiki"] == 402
     assert toxicity(docs.limit(0), known).count() == 0
-    assert toxicity(docs, known.limit(0)).count() == len(rows)
+    for none in (known.limit(0), known.where("toxic = 0")):
+        unknown = toxicity(docs, none)
+        assert unknown.count() == len(rows) and unknown.where("score > 0 or n_passages > 0").count() == 0
+
+
+def test_counts_of_labelled_ngrams(spark):
+    rows = spark.createDataFrame([("a b a", 1), ("a b", 0), ("", 1), ("b a b", 0)], "text string, toxic int")
+    got = {(r.n, r.bad, r.good) for r in labelled_grams(rows).collect()}
+    # a, b; a b, b a, and the last unit of a text; the same for three
+    assert {x for x in got if x[0] == 1} == {(1, 2, 2), (1, 1, 3)}
+    assert sum(r.bad + r.good for r in labelled_grams(rows).collect()) == 3 * 8
+
+
+def test_found_by_chance_stay_few(spark):
+    rows = [(1, 10, 50.0)] * 30 + [(1, 10, 2.0)] * 970
+    found = spark.createDataFrame(rows, "doc_id int, n_units int, best double")
+    limit = most_by_chance(found, F.exp(-F.col("best")) * 10)
+    assert 1e-6 < limit and 1000 * limit <= FALSE_SHARE * 30
+    assert most_by_chance(found.limit(0), F.lit(1.0)) == 0.0
