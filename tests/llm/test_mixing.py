@@ -1,8 +1,10 @@
 import os
 
+import numpy as np
 import pytest
 
-from kbspark.llm.mixing import mix, shares
+from kbspark.llm import mixing
+from kbspark.llm.mixing import fit_rates, learn_domains, memberships, mix, shares
 from kbspark.llm.tokens import FOLDER, NAME
 
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{FOLDER}/{NAME}.tiktoken"), reason="no tokenizer files")
@@ -51,3 +53,35 @@ def test_empty_tables(spark):
     goal = spark.createDataFrame([("big", 1.0, 1)], "source string, target_share double, max_repeats int")
     assert mix(docs(spark).limit(0), goal, spark).count() == 0
     assert mix(docs(spark), goal.limit(0), spark).where("copies > 0").count() == 0
+
+
+def test_every_document_has_a_posterior(spark):
+    """Words and source both count; where words say nothing of the source, the classifier knows."""
+    rows = docs(spark)
+    model, temperature = learn_domains(rows, ["big", "mid", "tiny"])
+    assert temperature > 0.05
+    got = {r.doc_id: r for r in memberships(rows, spark, ["big", "mid", "tiny"], np.array([1.0, 2.0, 4.0])).collect()}
+    assert all(abs(sum(r.posterior) - 1) < 1e-9 for r in got.values())
+    assert got[0].posterior[0] > 0.99 and got[0].cap == 1.0 and got[9003].posterior[1] > 0.9
+    plain = spark.createDataFrame([(i, f"same words {i % 7}", ["big", "mid", "mid"][i % 3]) for i in range(300)] + [(300, "same words", None)], "doc_id long, text string, source string")
+    assert learn_domains(plain, ["big", "mid"])[1] <= 0.02
+    p = memberships(plain, spark, ["big", "mid"], np.array([1.0, 2.0])).where("doc_id = 300").first().posterior
+    assert abs(p[1] - 2 / 3) < 0.05
+
+
+def test_rates_are_the_least_squares(spark, monkeypatch):
+    """Soft members against the normal equations, with rates written between the steps."""
+    monkeypatch.setattr(mixing, "CARRIED_AFTER", 3)
+    rnd = np.random.default_rng(4)
+    p = rnd.dirichlet([1, 1, 1], 60)
+    t = rnd.integers(1, 50, 60)
+    rows = [(i, "x", int(t[i]), [float(x) for x in p[i]], 5.0, 1.0) for i in range(60)]
+    members = spark.createDataFrame(rows, "doc_id int, source string, tokens long, posterior array<double>, cap double, rate double")
+    goal = np.array([900.0, 500.0, 700.0])
+    fitted, got = fit_rates(mixing.cut(members, "members"), goal)
+    assert np.abs(got - goal).max() < 0.01 * goal.sum()
+    rates = {r.doc_id: r.rate for r in fitted.collect()}
+    assert all(0 <= x <= 5 for x in rates.values())
+    assert np.allclose(sum(rates[i] * t[i] * p[i] for i in range(60)), got)
+    with pytest.warns(UserWarning, match="miss a target"):
+        fit_rates(mixing.cut(members, "members"), goal * 100, most_steps=1)
