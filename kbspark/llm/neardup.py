@@ -16,6 +16,7 @@ from kbspark.llm.corpus import corpus_counts
 from kbspark.llm.grouping import connected_groups
 from kbspark.llm.units import mix
 from kbspark.plans.lineage import cut
+from kbspark.plans.skew import small
 
 #: Fixed by the problem: similarity, characters in a sequence, shortest compared text.
 THRESHOLD, N, SHORTEST = 0.7, 5, 100
@@ -24,6 +25,10 @@ SHARED = 8
 SKETCH_BITS = 24
 #: Postings of one sequence that are joined in one piece.
 BLOCK = 512
+#: Postings that a task looks at, and meetings that it counts, at once.
+STREAMED, COUNTED = 1 << 20, 2_000_000
+#: Copies of one text that are joined in one piece.
+COPIES = 1000
 
 
 def raw(texts: DataFrame) -> DataFrame:
@@ -203,54 +208,87 @@ def _met(at: np.ndarray, whose: np.ndarray) -> Iterator[tuple[np.ndarray, np.nda
         yield np.minimum(a, b), np.maximum(a, b)
 
 
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The postings of a partition sorted by sequence, in pieces between two sequences."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+    for b in batches:
+        held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+        n += b.num_rows
+        if n >= STREAMED:
+            at, whose = (np.concatenate(x) for x in zip(*held))
+            token = at.view(np.uint64) >> np.uint64(28)
+            last = int((token != token[-1]).nonzero()[0][-1]) + 1 if token[0] != token[-1] else 0
+            if last:
+                yield at[:last], whose[:last]
+            held, n = [(at[last:], whose[last:])], len(at) - last
+    if n:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def _counted(kept: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.concatenate(kept, axis=1)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    start = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]).nonzero()[0]
+    return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array(b[start]), pa.array(np.diff(np.append(start, len(a))).astype(np.int32))], names=["a", "b", "n"])
+
+
 def candidates(posted: DataFrame) -> DataFrame:
-    """(a, b) class numbers of the pairs that meet at SHARED or more of their rarest sequences, or at as many as they must share if those are fewer."""
+    """(a, b) class numbers of the pairs that meet at SHARED or more of their rarest sequences, or at as many as they must share if those are fewer.
+
+    A task goes through its sequences in order, some at a time. The pairs of one text go to
+    one task, in order, which keeps what is shuffled of a pair short.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        if not parts:
-            return
-        at, whose = (np.concatenate(x) for x in zip(*parts))
         kept: list[np.ndarray] = []
         held = 0
-
-        def counted() -> pa.RecordBatch:
-            ab = np.concatenate(kept, axis=1)
-            order = np.lexsort((ab[1], ab[0]))
-            a, b = ab[0][order], ab[1][order]
-            start = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]).nonzero()[0]
-            n = np.diff(np.append(start, len(a)))
-            return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array(b[start]), pa.array(n.astype(np.int32))], names=["a", "b", "n"])
-
-        for a, b in _met(at, whose):
-            kept.append(np.stack([a, b]))
-            held += len(a)
-            if held > 2_000_000:
-                yield counted()
-                kept, held = [], 0
+        for at, whose in _streams(batches):
+            for a, b in _met(at, whose):
+                kept.append(np.stack([a, b]))
+                held += len(a)
+                if held > COUNTED:
+                    yield _counted(kept)
+                    kept, held = [], 0
         if held:
-            yield counted()
+            yield _counted(kept)
 
-    pairs = posted.repartition(F.shiftrightunsigned("at", 28)).mapInArrow(run, "a bigint, b bigint, n int")
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
+    token = F.shiftrightunsigned("at", 28)
+    pairs = posted.repartition(token).sortWithinPartitions("at").mapInArrow(run, "a bigint, b bigint, n int")
+    return pairs.repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
 
 
-#: Parts of the hash range in which the suffix filter counts.
-PARTS = 256
+#: Fewest and most parts of the hash range in which the suffix filter counts, as powers of two.
+LEAST_PARTS, MOST_PARTS = 7, 13
 
 
-def _profile(h: np.ndarray) -> np.ndarray:
-    """How many sequences of a text fall into each part of the hash range, at most 255."""
-    return np.minimum(255, np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=PARTS)).astype(np.uint8)
+def _profile(h: np.ndarray) -> bytes:
+    """How many sequences of a text fall into each part of the hash range, at most 15, two to a byte; about two sequences a part."""
+    bits = min(MOST_PARTS, max(LEAST_PARTS, len(h).bit_length() - 1))
+    n = np.minimum(15, np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)).astype(np.uint8)
+    return (n[::2] | (n[1::2] << 4)).tobytes()
 
 
-def apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Suffix filter: a lower bound of the sequences that only one of two texts has, from their profiles (rows).
+def apart_at_least(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Suffix filter: lower bounds of the sequences that only one of two texts has, from their profiles.
 
     Equal sequences fall into the same part, so that the parts' differences add up to no
-    more than the sequences that differ; cutting at 255 only makes them smaller.
+    more than the sequences that differ; cutting at 15 only makes them smaller, also after
+    the parts of the finer profile are put together.
     """
-    return np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=1)
+    out = np.zeros(len(x), dtype=np.int64)
+    sizes = np.array([[len(a), len(b)] for a, b in zip(x, y)]).reshape(-1, 2)
+    for size in np.unique(sizes, axis=0):
+        at = (sizes == size).all(axis=1).nonzero()[0]
+        both = []
+        for side in (x, y):
+            packed = np.frombuffer(b"".join([side[i] for i in at]), dtype=np.uint8).reshape(len(at), -1)
+            n = np.empty((len(at), 2 * packed.shape[1]), dtype=np.int16)
+            n[:, ::2], n[:, 1::2] = packed & 15, packed >> 4
+            both.append(np.minimum(15, n.reshape(len(at), 2 * size.min(), -1).sum(axis=2)))
+        out[at] = np.abs(both[0] - both[1]).sum(axis=1)
+    return out
 
 
 def profiles(texts: DataFrame) -> DataFrame:
@@ -265,7 +303,7 @@ def profiles(texts: DataFrame) -> DataFrame:
                 ids.append(f"{name:032x}")
                 nos.append(class_no(name))
                 size.append(len(h))
-                out.append(_profile(h).tobytes())
+                out.append(_profile(h))
             source = batch.column("source_id").take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([source, pa.array(ids, pa.string()), pa.array(nos, pa.int64()), pa.array(size, pa.int64()), pa.array(out, pa.binary())], names=["source_id", "class_id", "class_no", "size", "profile"])
 
@@ -282,8 +320,8 @@ def filtered(pairs: DataFrame, known: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             size_a, size_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, PARTS) for i in (4, 5))
-            good = pa.array(apart_at_least(x, y) <= size_a + size_b - 2 * least_overlap(size_a, size_b))
+            apart = apart_at_least(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            good = pa.array(apart <= size_a + size_b - 2 * least_overlap(size_a, size_b))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
     both = pairs.join(left, "a").join(right, "b").where(F.col("id_a") != F.col("id_b"))
@@ -362,11 +400,22 @@ def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def similar_records(texts: DataFrame) -> DataFrame:
-    """(id_a, id_b), id_a < id_b, of all pairs of different records with similar texts, copies included."""
+    """(id_a, id_b), id_a < id_b, of all pairs of different records with similar texts, copies included.
+
+    The list itself grows as the square of the copies of a text; ``duplicate_groups`` doesn't.
+    Members of a class with more than COPIES fall into pieces that are joined one by one.
+    """
     pairs, members = near_duplicates(texts)
-    same = pairs.select("a", "b").unionByName(members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
-    left, right = members.select(F.col("source_id").alias("x"), F.col("class_id").alias("a")), members.select(F.col("source_id").alias("y"), F.col("class_id").alias("b"))
-    found = same.join(left, "a").join(right, "b").where(F.col("x") != F.col("y"))
+    size = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).select("class_id", F.ceil(F.col("n") / COPIES).alias("pieces"), "n")
+    same = pairs.select("a", "b").unionByName(size.where("n > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
+    many = size.where("pieces > 1").select("class_id", "pieces")
+    sides = {}
+    for side, name in (("a", "x"), ("b", "y")):
+        own = members.join(small(many), "class_id", "left").select(F.col("source_id").alias(name), F.col("class_id").alias(side), F.pmod(F.xxhash64("source_id"), F.coalesce("pieces", F.lit(1))).alias(f"piece_{side}"))
+        of = small(many.select(F.col("class_id").alias(side), F.col("pieces").alias(f"n_{side}")))
+        same = same.join(of, side, "left").withColumn(f"piece_{side}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(f"n_{side}", F.lit(1)) - 1))).drop(f"n_{side}")
+        sides[side] = own
+    found = same.join(sides["a"], ["a", "piece_a"]).join(sides["b"], ["b", "piece_b"]).where(F.col("x") != F.col("y"))
     return found.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 

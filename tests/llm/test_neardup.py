@@ -45,7 +45,11 @@ def test_pairs_equal_brute_force(spark):
 
 def test_pairs_equal_brute_force_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "STREAMED", 7)
+    monkeypatch.setattr(neardup, "COUNTED", 50)
+    monkeypatch.setattr(neardup, "COPIES", 3)
     rows = make(2, 60)
+    rows += [(f"KB-AGAIN-{i}", rows[5][1], None, None) for i in range(10)]
     assert {tuple(r) for r in similar_records(spark.createDataFrame(rows, SCHEMA)).collect()} == brute(rows)
 
 
@@ -72,9 +76,17 @@ def test_empty_table(spark):
 
 def test_suffix_filter_is_a_lower_bound():
     rnd = np.random.default_rng(0)
-    for _ in range(200):
-        x, y = (np.unique(rnd.integers(0, 400, 200).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(2))
-        apart = len(np.setxor1d(x, y))
-        assert neardup.apart_at_least(neardup._profile(x)[None], neardup._profile(y)[None])[0] <= apart
+    pairs = []
+    for k in range(200):
+        x, y = (np.unique(rnd.integers(0, 2 * n, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in (rnd.integers(100, 3000), rnd.integers(100, 3000)))
+        if k % 3 == 0:
+            x, y = x[: len(x) // 2], np.union1d(x, y[:9])
+        pairs.append((neardup._profile(x), neardup._profile(y), len(np.setxor1d(x, y)), len(x) + len(y)))
         assert similar(x, y) == (len(np.intersect1d(x, y)) >= 0.7 * len(np.union1d(x, y)))
+    least = neardup.apart_at_least([p[0] for p in pairs], [p[1] for p in pairs])
+    assert all(n <= p[2] for n, p in zip(least, pairs))
+    # unrelated texts of any size are told apart
+    for n in (100, 1000, 9000):
+        x, y = (np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)) for _ in range(2))
+        assert neardup.apart_at_least([neardup._profile(x)], [neardup._profile(y)])[0] > 0.36 * n
     assert len(sequences("abcd")) == 0
