@@ -55,11 +55,16 @@ def _gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(cells), np.concatenate([doc] * len(ORDERS))
 
 
-def _scores(texts: list[str], weights: np.ndarray) -> np.ndarray:
-    """Log-likelihood of each text under each source."""
-    cell, text = _gram_counts(texts)
-    k = weights.shape[1]
-    return np.stack([np.bincount(text, weights=weights[cell, i], minlength=len(texts)) for i in range(k)], axis=1) if len(cell) else np.zeros((len(texts), k))
+def _scores(texts: list[str], weights: np.ndarray, temperature: float = 1.0) -> np.ndarray:
+    """Log-likelihood of each text under each source; where it weighs nothing, it is not worked out."""
+    out = np.zeros((len(texts), weights.shape[1]))
+    if temperature:
+        h, doc, _ = units(texts)
+        if len(h):
+            first = np.concatenate([[0], (doc[1:] != doc[:-1]).nonzero()[0] + 1])
+            for row, n in enumerate(ORDERS):
+                out[doc[first]] += np.add.reduceat(weights[grams(h, doc, n, BITS) + (row << BITS)], first, axis=0)
+    return out
 
 
 def _posterior(score: np.ndarray, log_prior: np.ndarray, temperature: float) -> np.ndarray:
@@ -149,7 +154,7 @@ def memberships(docs: DataFrame, spark: SparkSession, sources: list[str], caps:
                 if k > 1:
                     prior[named] += np.log(LABEL_NOISE / (k - 1))
                     prior[named, own[named]] += np.log((1 - LABEL_NOISE) * (k - 1) / LABEL_NOISE)
-                p = _posterior(_scores(texts, w), prior, temperature)
+                p = _posterior(_scores(texts, w, temperature), prior, temperature)
                 cap = np.where(named, caps[own], np.floor(p @ caps + 1e-9))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(tokens, pa.int64()), pa.array(list(p), pa.list_(pa.float64())), pa.array(cap), pa.array(np.minimum(1.0, cap))], names=["doc_id", "source", "tokens", "posterior", "cap", "rate"]
