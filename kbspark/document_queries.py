@@ -8,6 +8,7 @@ from kbspark.functions import titles as T
 from kbspark.functions.times import instant_micros
 from kbspark.operators import folders, incremental, neighbours, relations
 from kbspark.operators.documents import documents, listing
+from kbspark.plans.lineage import cut
 from kbspark.snapshot_queries import strip_sql
 from kbspark.sources.tables import table
 
@@ -103,7 +104,8 @@ def _profile_lists(spark, folder):
 
 
 def _edges(spark, folder):
-    return relations.scored_edges(relations.evidence(_docs(spark, folder)))
+    docs = cut(_docs(spark, folder), "docs")  # each rule would plan and read the listing again
+    return relations.scored_edges(relations.evidence(docs))
 
 
 def _whole_edges(spark, folder):
@@ -172,7 +174,11 @@ def _member_sql(rows: str, least: int = 2) -> str:
 SELECT bucket, source_id, members FROM (SELECT *, count(*) OVER (PARTITION BY bucket) AS members FROM own) WHERE members >= {least}"""
 
 
-def _pair_sql(rows: str) -> str:
+def _pair_sql(rows: str, bound: int | None = None) -> str:
+    """Pairs of buckets up to the limit and links of larger ones; with a bound, pairs of buckets up to it only."""
+    if bound is not None:
+        return f"""{_EACH}, own AS (SELECT DISTINCT bucket, source_id FROM ({rows}) WHERE bucket <> ''), sized AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS members FROM own)
+SELECT DISTINCT a.source_id, b.source_id AS target_id, 'pair' AS form FROM sized a JOIN sized b ON a.bucket = b.bucket AND a.source_id < b.source_id WHERE a.members <= {bound}"""
     return f"""{_EACH}, own AS (SELECT DISTINCT bucket, source_id FROM ({rows}) WHERE bucket <> ''),
 sized AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS members, min(source_id) OVER (PARTITION BY bucket) AS first FROM own)
 SELECT DISTINCT a.source_id, b.source_id AS target_id, 'pair' AS form FROM sized a JOIN sized b ON a.bucket = b.bucket AND a.source_id < b.source_id WHERE a.members <= {relations.PAIR_LIMIT}
@@ -183,7 +189,7 @@ _TITLE_ROWS = f"""SELECT bucket, source_id FROM (
   SELECT *, bool_or(marked) OVER (PARTITION BY bucket) AS any_marked FROM (
     SELECT {_key('file_name')} AS bucket, source_id, regexp_matches(file_name, '{_MARK}') OR coalesce(len(version_signals), 0) > 0 AS marked FROM docs) WHERE length(bucket) >= 4) WHERE any_marked"""
 _FOLDER_ROWS = "SELECT regexp_extract(source_path, '^(.*)/[^/]*$', 1) AS bucket, source_id FROM docs"
-_ID_ROWS = """SELECT unnest(list_distinct(list_transform(list_concat(regexp_extract_all(t, '(?i)\\bPRJ[-_ ]?\\d{3,}[A-Z]?\\b'), regexp_extract_all(t, '(?i)\\b(?:TICKET|WORK|BUG|REQ)[-_]?\\d{3,}\\b')), lambda x: replace(upper(x), ' ', '')))) AS bucket, source_id
+_ID_ROWS = f"""SELECT unnest(list_distinct(list_transform(list_concat({', '.join(f"regexp_extract_all(t, '{p}')" for p in T.BUSINESS_IDS)}), lambda x: replace(upper(x), ' ', '')))) AS bucket, source_id
 FROM (SELECT concat_ws(chr(10), file_name, content) AS t, source_id FROM docs)"""
 _NODES = """SELECT DISTINCT f.source_id, t.target_id FROM (SELECT source_id, unnest(list_distinct(regexp_extract_all(content, 'https?://[^\\s/]+/(?:i/)?(?:nodes|spaces)/([A-Za-z0-9_-]+)', 1))) AS node_id FROM docs) f
 JOIN (SELECT node_id, min(source_id) AS target_id FROM docs WHERE trim(node_id) <> '' GROUP BY 1) t USING (node_id) WHERE f.source_id <> t.target_id"""
@@ -192,10 +198,16 @@ WHERE f.source_id <> f.target_id AND f.target_id IN (SELECT source_id FROM docs)
 _CITED = f"""SELECT DISTINCT f.source_id, t.target_id FROM (
   SELECT source_id, {_key('title')} AS key FROM (SELECT source_id, unnest(list_concat(coalesce(regexp_extract_all(content, '{T.TITLE_CITED}', 1), []), coalesce(list_transform(explicit_references, lambda r: r.target_text), []))) AS title FROM docs)) f
 JOIN (SELECT {_key('file_name')} AS key, min(source_id) AS target_id FROM docs GROUP BY 1 HAVING count(*) = 1) t USING (key) WHERE key <> '' AND f.source_id <> t.target_id"""
-_EVIDENCE = ", ev AS (\n" + "\nUNION ALL ".join(
-    [f"SELECT source_id, target_id, 'linked node' AS rule FROM ({_NODES})", f"SELECT source_id, target_id, 'mentioned id' FROM ({_IDS})", f"SELECT source_id, target_id, 'cited title' FROM ({_CITED})"]
-    + [f"SELECT DISTINCT source_id, target_id, '{rule}' FROM ({_pair_sql(rows).replace(_EACH + ',', 'WITH')})" for rule, rows in (("same content", "SELECT sha256(content) AS bucket, source_id FROM docs WHERE trim(content) <> ''"), ("same title", _TITLE_ROWS), ("same business id", _ID_ROWS), ("same folder", _FOLDER_ROWS))]
-) + ")"
+_BUCKETS = {"same content": "SELECT sha256(content) AS bucket, source_id FROM docs WHERE trim(content) <> ''", "same title": _TITLE_ROWS, "same business id": _ID_ROWS, "same folder": _FOLDER_ROWS}
+
+
+def _evidence_sql(bounds: dict[str, int]) -> str:
+    parts = [f"SELECT source_id, target_id, 'linked node' AS rule FROM ({_NODES})", f"SELECT source_id, target_id, 'mentioned id' FROM ({_IDS})", f"SELECT source_id, target_id, 'cited title' FROM ({_CITED})"]
+    parts += [f"SELECT DISTINCT source_id, target_id, '{rule}' FROM ({_pair_sql(rows, bounds.get(rule)).replace(_EACH + ',', 'WITH')})" for rule, rows in _BUCKETS.items()]
+    return ", ev AS (\n" + "\nUNION ALL ".join(parts) + ")"
+
+
+_EVIDENCE = _evidence_sql({})
 _W = {k: (s, w) for k, (s, w) in relations.STRENGTH.items()}
 _N = {k: "count(*) FILTER (rule IN (" + ", ".join(f"'{r}'" for r, (s, _) in _W.items() if s == k) + "))" for k in ("strong", "medium", "weak")}
 _BEST = "max(CASE rule " + " ".join(f"WHEN '{r}' THEN {w}" for r, (_, w) in _W.items()) + " END)"
@@ -207,7 +219,7 @@ x AS (SELECT *, (1 + ln(c)) * (ln((1 + (SELECT count(*) FROM docs)) / (1 + count
 u AS (SELECT source_id, word, w / sqrt(sum(w * w) OVER (PARTITION BY source_id)) AS weight FROM x),
 p AS (SELECT a.source_id, b.source_id AS target_id, round(sum(a.weight * b.weight), 6) AS cosine FROM u a JOIN u b ON a.word = b.word AND a.source_id <> b.source_id GROUP BY ALL),
 nearest AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY cosine DESC, target_id) AS rank FROM p WHERE cosine >= 0.12 QUALIFY rank <= 10)"""
-_WHOLE_EVIDENCE = f"""{_EVIDENCE}, {_NEAREST},
+_WHOLE_EVIDENCE = f"""{_evidence_sql(relations.BOUNDS)}, {_NEAREST},
 sides AS (SELECT DISTINCT {_FOLD.format('x')} AS bucket, source_id, side FROM (SELECT unnest(outputs) AS x, source_id, 'output' AS side FROM docs UNION ALL SELECT unnest(inputs), source_id, 'input' FROM docs)),
 objects AS (SELECT *, count(*) OVER (PARTITION BY bucket) AS n FROM (SELECT DISTINCT {_FOLD.format('x')} AS bucket, source_id, coalesce(nullif({strip_sql('document_role')}, ''), nullif({strip_sql('page_type_candidate')}, '')) AS role FROM (SELECT unnest(business_objects) AS x, * FROM docs)) WHERE length(bucket) >= 2),
 fits(a, b) AS (VALUES {', '.join(f"('{a}', '{b}'), ('{b}', '{a}')" for a, b in relations.ROLE_PAIRS)}),

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 #: What marks a version in a name, and ids of projects and tickets.
 VERSION_MARK = r"(?i)新版|旧版|最新版|修订|替代|取代|废止|失效|沿用|v\s*\d+(?:\.\d+)*|version\s*\d+(?:\.\d+)*"
 VERSION_SUFFIX = r"(?i)[-_｜| ]?(?:v(?:er(?:sion)?)?\s*\d+(?:\.\d+)*|新版|旧版|最新版|修订版|最终版|草稿版|\d{4}[-_/]\d{1,2}[-_/]\d{1,2})"
-BUSINESS_IDS = (r"(?i)\bPRJ[-_ ]?\d{3,}[A-Z]?\b", r"(?i)\b(?:TICKET|WORK|BUG|REQ)[-_]?\d{3,}\b")
+BUSINESS_IDS = (r"(?i)\bPRJ[-_ ]?\d{3,}[A-Z]?\b", r"(?i)\b(?:TICKET|WORK|BUG|REQ)[-_]?\d{3,}\b", r"\b[A-Z]{2,10}[-_/]\d{3,}(?:[-_/]\d+)?\b")
 STABLE_ID = r"(?i)\b[A-Z][A-Z0-9_-]{1,20}-[A-F0-9]{12}\b"
 NODE_LINK = r"https?://[^\s/]+/(?:i/)?(?:nodes|spaces)/([A-Za-z0-9_-]+)"
 TITLE_CITED = "(?:依据|参照|按照|详见|见|引用|遵循)[ \\t]*[《“\"]([^》”\"\\n]{2,100})[》”\"]"
-#: Query keys of links that are signed for a short time.
+#: Query keys of links that are signed for a short time.
 SIGNED_KEYS = ("accesskeyid", "ossaccesskeyid", "signature", "expires", "security-token", "x-oss-security-token", "x-oss-signature", "x-oss-credential", "token", "access_token")
-#: Secrets in text: label, pattern, replacement.
+#: Secrets in text: label, pattern, replacement.
 SECRETS = (
     ("password", r"(?i)((?:访问)?密码|password|passcode)(\s*[:：=]\s*)([^\s,，;；。]{3,})", "$1$2[REDACTED]"),
     ("token", r"(?i)(api[_ -]?key|access[_ -]?token|refresh[_ -]?token|secret|bearer)(\s*[:：=]?\s*)([A-Za-z0-9_./+\-=]{6,})", "$1$2[REDACTED]"),

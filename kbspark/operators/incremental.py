@@ -88,3 +88,49 @@ def reclassified(each: DataFrame) -> DataFrame:
 def applied_state(each: DataFrame, scans: DataFrame) -> DataFrame:
     """(source_id, snapshot_id, file_name, source_hash): the state after the last scan; a record that is gone keeps its last row."""
     return each.join(scans, "snapshot_id").groupBy("source_id").agg(F.max_by(F.struct("snapshot_id", "file_name", "source_hash"), "scan_no").alias("s")).select("source_id", "s.*")
+
+
+def change_states(each: DataFrame, scans: DataFrame, confirm: int = 2, audit: bool = False) -> DataFrame:
+    """(snapshot_id, source_id, state, missing_scans) of every record known at each scan after the first.
+
+    Missing records: ``suspected`` until they were missing at ``confirm`` scans in a row,
+    ``orphan`` from then on. Records that are there: ``new``, ``restored`` (back after
+    missing scans, whose number is given), ``content_check`` (update_time differs from the
+    last sight, or ``audit`` asks to check all), ``unchanged``. A record has at most one row
+    per scan, so that its window is small however often it is delivered.
+    """
+    own = Window.partitionBy("source_id").orderBy("scan_no")
+    end = scans.agg(F.max("scan_no").alias("end"))
+    seen = each.select("source_id", "snapshot_id", "updated").join(F.broadcast(scans), "snapshot_id").join(F.broadcast(end))
+    seen = seen.select("source_id", "scan_no", "updated", F.lag("scan_no").over(own).alias("before"), F.lag("updated").over(own).alias("was"), F.coalesce(F.lead("scan_no").over(own), F.col("end") + 1).alias("next"))
+    check = F.lit(True) if audit else ~F.col("updated").eqNullSafe(F.col("was"))
+    state = F.when(F.col("before").isNull(), "new").when(F.col("before") < F.col("scan_no") - 1, "restored").when(check, "content_check").otherwise("unchanged")
+    there = F.struct("scan_no", state.alias("state"), F.coalesce(F.col("scan_no") - F.col("before") - 1, F.lit(0)).alias("missing_scans"))
+    gone = F.when(
+        F.col("next") > F.col("scan_no") + 1,
+        F.transform(F.sequence(F.col("scan_no") + 1, F.greatest("next", F.col("scan_no") + 2) - 1), lambda k: F.struct(k.alias("scan_no"), F.when(k - F.col("scan_no") >= max(1, confirm), "orphan").otherwise("suspected").alias("state"), (k - F.col("scan_no")).alias("missing_scans"))),
+    )
+    rows = seen.select("source_id", F.explode(F.concat(F.array(there), F.coalesce(gone, F.array().cast(gone_type())))).alias("s")).select("source_id", "s.*").where("scan_no > 1")
+    return rows.join(F.broadcast(scans), "scan_no").select("snapshot_id", "source_id", "state", F.col("missing_scans").cast("int").alias("missing_scans"))
+
+
+def gone_type() -> str:
+    return "array<struct<scan_no:int,state:string,missing_scans:int>>"
+
+
+def working_set(each: DataFrame, scans: DataFrame) -> DataFrame:
+    """(source_id, presence, file_name, creator_uid, permission_hash, source_hash, extracted_hash, extract) to go on with.
+
+    The last listing; creator and permission stay what they were where it leaves them blank,
+    since they come from other lookups; hashes of records that are to be extracted again (new
+    or with another update_time) are void. Records that the last listing lacks stay with
+    their last row, ``missing``. One aggregate over all listings.
+    """
+    end = F.broadcast(scans.agg(F.max("scan_no").alias("end")))
+    rows = each.join(F.broadcast(scans), "snapshot_id").join(end).withColumn("now", F.col("scan_no") == F.col("end"))
+    filled = {c: F.max(F.when(F.trim(c) != "", F.struct("scan_no", F.col(c).alias("v")))).alias(f"k_{c}") for c in ("creator_uid", "permission_hash")}
+    fields = F.struct("scan_no", "now", "file_name", "source_hash", "extracted_hash", "updated")
+    one = rows.groupBy("source_id").agg(F.max(fields).alias("r"), F.max(F.when(~F.col("now"), F.struct("scan_no", "updated"))).alias("old"), *filled.values())
+    extract = F.col("r.now") & (F.col("old").isNull() | ~F.col("old.updated").eqNullSafe(F.col("r.updated")))
+    keep = lambda c: F.when(~extract, F.col(f"r.{c}")).alias(c)
+    return one.select("source_id", F.when(F.col("r.now"), "listed").otherwise("missing").alias("presence"), "r.file_name", *[F.col(f"k_{c}.v").alias(c) for c in filled], keep("source_hash"), keep("extracted_hash"), extract.alias("extract"))

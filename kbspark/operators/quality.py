@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kbspark.functions.text import blank_to_null, canonical_extension, canonical_hash, canonical_id, canonical_word
+from kbspark.plans.skew import small
 
 
 def table_checks(manifest: DataFrame, snapshots: DataFrame, semantic: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def table_checks(manifest: DataFrame, snapshots: DataFrame, semantic: DataFrame,
             "verdict type given": blank_to_null("verified_relation_type").isNotNull(),
         },
     )
-    known = manifest.join(F.broadcast(snapshots.select("snapshot_id").distinct().limit(10_000)), "snapshot_id", "left_anti").agg(F.count(F.lit(1)).alias("failed"))
+    known = manifest.join(small(snapshots.select("snapshot_id").distinct()), "snapshot_id", "left_anti").agg(F.count(F.lit(1)).alias("failed"))
     scans = manifest.agg(F.count(F.lit(1)).alias("rows")).join(F.broadcast(known)).select(F.lit("manifest scan known").alias("name"), "rows", "failed")
     return reduce(DataFrame.unionByName, [m, s, v, scans])
 
@@ -74,3 +75,10 @@ def parse_report(manifest: DataFrame) -> DataFrame:
     s = F.trim("parse_status")
     kinds = {"parsed": "全文已解析", "failed": "失败已登记", "pending": "待解析"}
     return manifest.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(s == v).alias(k) for k, v in kinds.items()], F.count_if(~F.coalesce(s.isin(*kinds.values()), F.lit(False))).alias("other"))
+
+
+def parse_failures(manifest: DataFrame) -> DataFrame:
+    """(parse_status, extension, rows, records) of what was not read in full."""
+    status = F.trim("parse_status")
+    rows = manifest.where(~F.coalesce(status == "全文已解析", F.lit(False)))
+    return rows.groupBy(status.alias("parse_status"), canonical_extension("extension").alias("extension")).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(canonical_id("source_id")).alias("records"))

@@ -8,6 +8,8 @@ so that a key that a third of all documents share costs one row per document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from kbspark.functions.text import blank_to_null
 from kbspark.functions.titles import NODE_LINK, STABLE_ID, TITLE_CITED, VERSION_MARK, business_ids, folded, title_key
 from kbspark.operators.documents import parent_folder
 from kbspark.operators.neighbours import nearest_documents
-from kbspark.plans.lineage import cut
+from kbspark.plans.lineage import cut, drop_cut
 
 #: Largest buckets that are expanded into pairs.
 PAIR_LIMIT = 50
@@ -120,11 +122,19 @@ ROLE_LIMIT = 40
 BLOCK = 512
 
 
-def evidence(docs: DataFrame) -> DataFrame:
-    """(source_id, target_id, rule): what every rule says about pairs, unordered rules with the smaller id first."""
+#: Largest buckets that make pairs in the merge of all rules: beyond them a name, id or folder says nothing of a pair.
+BOUNDS = {"same title": 30, "same business id": 50, "same folder": 50}
+
+
+def evidence(docs: DataFrame, bounds: dict[str, int] | None = None) -> DataFrame:
+    """(source_id, target_id, rule): what every rule says about pairs, unordered rules with the smaller id first.
+
+    A rule of ``bounds`` leaves out the buckets over its bound; the memberships have them.
+    """
     parts = [linked_nodes(docs).withColumn("rule", F.lit("linked node")), mentioned_ids(docs).withColumn("rule", F.lit("mentioned id")), cited_titles(docs).withColumn("rule", F.lit("cited title"))]
-    for rule in (same_content, same_title, same_business_id, same_folder):
-        parts.append(pairs_within(rule(docs)).select("source_id", "target_id", "rule").distinct())
+    for name, rule in (("same content", same_content), ("same title", same_title), ("same business id", same_business_id), ("same folder", same_folder)):
+        members, bound = rule(docs), (bounds or {}).get(name)
+        parts.append(pairs_within(members if bound is None else members.where(F.col("members") <= bound), bound or PAIR_LIMIT).select("source_id", "target_id", "rule").distinct())
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -166,7 +176,7 @@ def whole_evidence(docs: DataFrame) -> DataFrame:
     docs = cut(docs, "docs")  # the ten rules would each plan and read the listing again
     more = output_input_pairs(docs).withColumn("rule", F.lit("output to input")).unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
     near = near_pairs(docs).withColumn("rule", F.lit("near words"))
-    return evidence(docs).unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+    return evidence(docs, BOUNDS).unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
 
 
 def scored_edges(found: DataFrame) -> DataFrame:
@@ -193,30 +203,35 @@ def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:
     return kept.withColumn("score", F.round(F.pmod("score", F.lit(1000.0)), 4))
 
 
-def capped(edges: DataFrame, most: int = 30, rounds: int = 1000) -> DataFrame:
+def capped(edges: DataFrame, most: int = 30) -> DataFrame:
     """The edges a greedy choice keeps that goes through them from the best to the last and lets no document have more than ``most``.
 
     In rounds: of the undecided edges each document ranks its best ``most``; an edge within
     the free places at both ends is kept, an edge at a full document dropped. Every round
-    decides the best edge left at least, so that the result is that of the sequential choice.
-    Ranks beyond ``most`` are cut off before the shuffle, so that a document with very many
-    edges makes no large window.
+    decides the best edge left at least, so that the rounds end and the result is that of the
+    sequential choice. What a round writes are the edges it keeps, the places taken and the
+    edges left. Ranks beyond ``most`` are cut off before the shuffle, so that a document with
+    very many edges makes no large window.
     """
     key = F.struct((-F.col("score")).alias("s"), "source_id", "target_id")
     open_ = cut(edges.select("source_id", "target_id", "score"), "open")
-    kept: DataFrame | None = None
-    for _ in range(rounds):
+    kept: list[DataFrame] = []
+    taken: DataFrame | None = None
+    while True:
         ends = open_.select(F.explode(F.array("source_id", "target_id")).alias("id"), "source_id", "target_id", key.alias("key"))
         best = ends.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("key"))).where(F.col("rank") <= most)
-        if kept is not None:
-            taken = degrees(kept).select(F.col("source_id").alias("id"), F.col("degree").alias("taken"))
+        if taken is not None:
             best = best.join(taken, "id", "left").where(F.col("rank") <= most - F.coalesce("taken", F.lit(0)))
         new = best.groupBy("source_id", "target_id").agg(F.count(F.lit(1)).alias("n"), F.first("key.s").alias("s")).where("n = 2").select("source_id", "target_id", (-F.col("s")).alias("score"))
-        kept = cut(new if kept is None else kept.unionByName(new), "kept")
-        full = degrees(kept).where(F.col("degree") >= most).select(F.col("source_id").alias("id"))
-        left = open_.join(kept.select("source_id", "target_id"), ["source_id", "target_id"], "left_anti")
+        kept.append(cut(new, "kept"))
+        places = degrees(kept[-1]).select(F.col("source_id").alias("id"), F.col("degree").alias("taken"))
+        more = cut(places if taken is None else taken.unionByName(places).groupBy("id").agg(F.sum("taken").alias("taken")), "taken")
+        full = more.where(F.col("taken") >= most).select("id")
+        left = open_.join(kept[-1].select("source_id", "target_id"), ["source_id", "target_id"], "left_anti")
         left = left.join(full.withColumnRenamed("id", "source_id"), "source_id", "left_anti").join(full.withColumnRenamed("id", "target_id"), "target_id", "left_anti")
-        open_ = cut(left.select("source_id", "target_id", "score"), "open")
+        left = cut(left.select("source_id", "target_id", "score"), "open")
+        drop_cut(open_, *([taken] if taken is not None else []))
+        open_, taken = left, more
         if open_.isEmpty():
-            return kept
-    raise RuntimeError("edges are left undecided")
+            drop_cut(open_, taken)
+            return reduce(DataFrame.unionByName, kept)

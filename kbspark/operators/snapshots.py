@@ -57,21 +57,28 @@ def current_rows(manifest: DataFrame, scans: DataFrame) -> DataFrame:
     )
 
 
+def row_hash(*parts: str) -> F.Column:
+    """128-bit hash of the canonical spelling of a row's fields; null where any is missing."""
+    return F.unhex(F.md5(F.concat(*[x for p in parts for x in (F.lit("\x1f"), F.col(p))])))
+
+
 def snapshot_changes(manifest: DataFrame, snapshots: DataFrame) -> DataFrame:
     """(snapshot_id, source_id, change_type) for every two consecutive complete snapshots.
 
     A full outer join on record and scan: the earlier listing, moved on to the scan after
-    it, against the later one. A side that is missing gives ``added`` or ``removed``; a
-    record in both is ``changed`` if the content hashes differ or, where either is missing,
-    if the instants of update_time differ (one missing instant differs from a present one,
-    two missing ones don't). Fewer than two complete scans or an empty manifest give no rows.
+    it, against the later one, each row as the canonical hashes of what decides: of its
+    content and, where that is missing in either, of the instant of its update_time. A side
+    that is missing gives ``added`` or ``removed``; a record in both is ``changed`` if the
+    hashes that decide differ (one missing instant differs from a present one, two missing
+    ones don't). Fewer than two complete scans or an empty manifest give no rows.
     """
-    rows = current_rows(manifest, complete_scans(snapshots))
-    later = rows.select("snapshot_id", "source_id", "is_first", F.col("content").alias("new_content"), F.col("updated").alias("new_updated"), F.lit(True).alias("here"))
-    earlier = rows.select(F.col("next_snapshot_id").alias("snapshot_id"), "source_id", F.col("content").alias("old_content"), F.col("updated").alias("old_updated"), F.lit(True).alias("before"))
+    rows = current_rows(manifest, complete_scans(snapshots)).withColumn("updated", F.encode(F.col("updated").cast("string"), "UTF-8"))
+    hashed = rows.select("snapshot_id", "next_snapshot_id", "source_id", "is_first", row_hash("content").alias("by_content"), row_hash("updated").alias("by_time"))
+    later = hashed.select("snapshot_id", "source_id", "is_first", F.struct("by_content", "by_time").alias("new"))
+    earlier = hashed.select(F.col("next_snapshot_id").alias("snapshot_id"), "source_id", F.struct("by_content", "by_time").alias("old"))
     both = later.join(earlier, ["snapshot_id", "source_id"], "full_outer")
-    differs = F.when(F.col("new_content").isNotNull() & F.col("old_content").isNotNull(), F.col("new_content") != F.col("old_content")).otherwise(~F.col("new_updated").eqNullSafe(F.col("old_updated")))
-    change = F.when(F.col("before").isNull(), F.when(~F.col("is_first"), "added")).when(F.col("here").isNull(), "removed").when(differs, "changed")
+    differs = F.when(F.col("new.by_content").isNotNull() & F.col("old.by_content").isNotNull(), F.col("new.by_content") != F.col("old.by_content")).otherwise(~F.col("new.by_time").eqNullSafe(F.col("old.by_time")))
+    change = F.when(F.col("old").isNull(), F.when(~F.col("is_first"), "added")).when(F.col("new").isNull(), "removed").when(differs, "changed")
     return both.where(F.col("snapshot_id").isNotNull()).select("snapshot_id", "source_id", change.alias("change_type")).where(F.col("change_type").isNotNull())
 
 

@@ -19,13 +19,19 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.001, least: int = 20_000)
 
 
 def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join ``facts`` with ``table`` (unique on ``key``), hot keys apart.
+    """Join ``facts`` with ``table`` (unique on the text ``key``), hot keys apart.
 
-    The rows of ``table`` for hot keys number at most 1/share and are broadcast; the other
-    facts are shuffled. Each fact takes exactly one of both ways, so none is lost or doubled.
+    The rows of ``table`` for hot keys number at most 1/share and are broadcast to the facts;
+    in the shuffle join that finds the others, facts with a hot key stand under made-up keys
+    that spread them evenly and match nothing. No fact is lost or doubled, and ``facts`` is
+    worked out twice: to count its keys and to join it.
     """
-    hot = F.broadcast(hot_keys(facts, key).withColumn("_hot", F.lit(True)))
-    marked = facts.join(hot, key, "left")
-    cold = marked.where(F.col("_hot").isNull()).drop("_hot").join(table, key, how)
-    warm = marked.where("_hot").drop("_hot").join(F.broadcast(table.join(hot.drop("_hot"), key, "left_semi")), key, how)
-    return cold.unionByName(warm)
+    rest = [c for c in table.columns if c != key]
+    known = table.select(key, F.struct(*rest).alias("_found"))
+    hot = F.broadcast(known.join(F.broadcast(hot_keys(facts, key)), key, "left_semi").withColumnRenamed("_found", "_hot"))
+    apart = F.concat(F.lit("\0"), F.xxhash64(*facts.columns).cast("string"))
+    marked = facts.join(hot, key, "left").withColumn("_key", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(apart))
+    both = marked.join(known.withColumnRenamed(key, "_key"), "_key", "left").withColumn("_row", F.coalesce("_hot", "_found"))
+    if how == "inner":
+        both = both.where(F.col("_row").isNotNull())
+    return both.select(*facts.columns, *[F.col(f"_row.{c}").alias(c) for c in rest])

@@ -53,8 +53,8 @@ QUERIES = {
     "visible_text": lambda s, d: table(s, d, "documents").where(F.col("text").isNotNull()).select("doc_id", F.sha2(markup.visible_text(F.col("text")), 256).alias("text_hash")),
     "csv_round_trip": lambda s, d: files.round_trip(table(s, d, "semantic_output").select("source_id", "document_key", "file_name", "content", "summary"), "csv"),
     "jsonl_round_trip": lambda s, d: files.round_trip(table(s, d, "relation_verification").select("relation_id", "source_id", "target_id", "verified_relation_type", "confidence"), "jsonl"),
-    "streamed_readings": lambda s, d: readings.drained(readings.latest_readings(readings.files(s, d, "raw_manifest")), "readings"),
-    "streamed_event_windows": lambda s, d: readings.drained(readings.windowed_events(readings.files(s, d, "events")), "windows"),
+    "streamed_readings": lambda s, d: readings.drained(readings.latest_readings(readings.files(s, d, "raw_manifest")), "readings", "source_id"),
+    "streamed_event_windows": lambda s, d: readings.drained(readings.windowed_events(readings.files(s, d, "events")), "windows", "window_start", "event_type"),
 }
 
 _UNSAFE = "[\\x00-\\x08\\x0B-\\x1F\\x7F-\\x9F\\p{Cf}\\p{Co}]"
