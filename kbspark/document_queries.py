@@ -229,7 +229,7 @@ UNION ALL SELECT DISTINCT x.source_id, y.source_id, 'complementary roles', NULL
 UNION ALL SELECT least(source_id, target_id), greatest(source_id, target_id), 'near words', max(cosine) FROM nearest GROUP BY ALL)"""
 _WV = {k: "count(*) FILTER (rule IN (" + ", ".join(f"'{r}'" for r, (s, _) in relations.WHOLE_STRENGTH.items() if s == k) + "))" for k in ("strong", "medium", "weak")}
 _WBEST = "max(coalesce(cosine, CASE rule " + " ".join(f"WHEN '{r}' THEN {w}" for r, (_, w) in relations.WHOLE_STRENGTH.items()) + " END))"
-_WHOLE = f"SELECT source_id, target_id, string_agg(DISTINCT rule, '/' ORDER BY rule) AS rules, {_WV['strong']} AS strong, {_WV['medium']} AS medium, {_WV['weak']} AS weak, round({_WV['strong']} * 100 + {_WV['medium']} * 20 + {_WV['weak']} * 2 + {_WBEST}, 4)::DOUBLE AS score FROM whole GROUP BY source_id, target_id"
+_WHOLE = f"SELECT source_id, target_id, string_agg(DISTINCT rule, '/' ORDER BY rule) AS rules, {_WV['strong']} AS strong, {_WV['medium']} AS medium, {_WV['weak']} AS weak, floor(({_WV['strong']} * 100 + {_WV['medium']} * 20 + {_WV['weak']} * 2 + {_WBEST}) * 10000 + 0.500001) / 10000 AS score FROM whole GROUP BY source_id, target_id"
 _CHANGES = """, pairs AS (
   SELECT coalesce(n.k, o.k + 1) AS k, coalesce(n.source_id, o.source_id) AS source_id, n.source_id IS NOT NULL AS here, o.source_id IS NOT NULL AS before,
     list_filter([

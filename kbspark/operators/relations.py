@@ -188,7 +188,8 @@ def scored_edges(found: DataFrame) -> DataFrame:
     return rows.groupBy("source_id", "target_id").agg(
         F.array_join(F.array_sort(F.collect_set("rule")), "/").alias("rules"),
         *[v.alias(k) for k, v in n.items()],
-        F.round(n["strong"] * 100 + n["medium"] * 20 + n["weak"] * 2 + F.max("w"), 4).alias("score"),
+        # to four places, halves up whatever their binary form
+        (F.floor((n["strong"] * 100 + n["medium"] * 20 + n["weak"] * 2 + F.max("w")) * 10000 + 0.500001) / 10000).alias("score"),
     )
 
 
