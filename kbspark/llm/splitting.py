@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kbspark.functions.text import canonical_extension, canonical_id
@@ -119,9 +119,9 @@ def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out = []
             for r in rows.iloc[begin : begin + 64].itertuples(index=False):
                 for no, (s, e, cut) in enumerate(pieces(r.content, int(r.max_chars), int(r.overlap_chars))):
-                    out.append((r.source_id, r.extension, no, s, e, cut, r.content[s:e]))
+                    out.append((r.source_id, r.extension, r.content_key, no, s, e, cut, r.content[s:e]))
             if out:
-                yield pd.DataFrame(out, columns=["source_id", "extension", "piece_no", "start_pos", "end_pos", "cut", "piece"])
+                yield pd.DataFrame(out, columns=["source_id", "extension", "content_key", "piece_no", "start_pos", "end_pos", "cut", "piece"])
 
 
 def split_oversized(texts: DataFrame, limits: DataFrame, least_limit: int = 1) -> DataFrame:
@@ -129,8 +129,8 @@ def split_oversized(texts: DataFrame, limits: DataFrame, least_limit: int = 1) -
 
     ``texts`` has source_id, extension and content (other columns are ignored); ``limits``
     has extension, max_chars and overlap_chars, the row ``*`` for all other extensions.
-    Returns (source_id, extension, piece_no, start_pos, end_pos, cut, piece), positions in
-    code points; consecutive pieces share exactly overlap_chars characters, and the pieces
+    Returns (source_id, extension, content_key, piece_no, start_pos, end_pos, cut, piece), the
+    key a hash of the content, positions in code points; consecutive pieces share exactly overlap_chars characters, and the pieces
     without what they share with the one ahead give the content again.
 
     Null, empty and short contents have no pieces. Rows without a limit (no row ``*``, a
@@ -147,10 +147,24 @@ def split_oversized(texts: DataFrame, limits: DataFrame, least_limit: int = 1) -
     rows = texts.select(canonical_id("source_id").alias("source_id"), canonical_extension("extension").alias("extension"), "content").where(F.col("content").isNotNull())
     ruled = rows.join(small(rule.where(F.col("extension") != "*")), "extension", "left").join(small(rest), F.lit(True), "left")
     long = ruled.withColumn("rule", F.coalesce("rule", "rest")).where(F.length("content") > F.col("rule.max_chars"))
-    once = long.select("source_id", "extension", "content", "rule.max_chars", "rule.overlap_chars").dropDuplicates()
-    return once.mapInPandas(_split, "source_id string, extension string, piece_no int, start_pos bigint, end_pos bigint, cut string, piece string")
+    once = long.select("source_id", "extension", F.sha2("content", 256).alias("content_key"), "content", "rule.max_chars", "rule.overlap_chars").dropDuplicates(["source_id", "extension", "content_key"])
+    return once.mapInPandas(_split, "source_id string, extension string, content_key string, piece_no int, start_pos bigint, end_pos bigint, cut string, piece string")
 
 
 def oversized_ids(split: DataFrame) -> DataFrame:
     """Distinct ids of the records that were split."""
     return split.where((F.col("piece_no") == 1) & F.col("source_id").isNotNull()).select("source_id").distinct()
+
+
+def rebuilt(split: DataFrame) -> DataFrame:
+    """(source_id, extension, text_hash, shared, longest) of every split content, from its pieces alone.
+
+    The pieces without what they share with the one ahead, put together; ``shared`` are the
+    characters that consecutive pieces have in common (null where they differ), ``longest``
+    those of the largest piece. The pieces of one content are few and meet in one row.
+    """
+    own = Window.partitionBy("source_id", "extension", "content_key").orderBy("piece_no")
+    rows = split.withColumn("before", F.lag("end_pos").over(own)).withColumn("common", F.col("before") - F.col("start_pos"))
+    part = F.struct("piece_no", F.expr("substring(piece, int(coalesce(common, 0)) + 1)").alias("part"))
+    one = rows.groupBy("source_id", "extension", "content_key").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.min("common").alias("least"), F.max("common").alias("most"), F.max(F.length("piece")).alias("longest"))
+    return one.select("source_id", "extension", F.sha2(F.array_join("parts.part", ""), 256).alias("text_hash"), F.when(F.col("least") == F.col("most"), F.col("least")).alias("shared"), "longest")
