@@ -231,7 +231,8 @@ def _counted(kept: list[np.ndarray]) -> pa.RecordBatch:
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     start = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]).nonzero()[0]
-    return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array(b[start]), pa.array(np.diff(np.append(start, len(a))).astype(np.int32))], names=["a", "b", "n"])
+    n = np.minimum(255, np.diff(np.append(start, len(a))))
+    return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array((b[start] << 8) | n)], names=["a", "bn"])
 
 
 def candidates(posted: DataFrame) -> DataFrame:
@@ -255,8 +256,10 @@ def candidates(posted: DataFrame) -> DataFrame:
             yield _counted(kept)
 
     token = F.shiftrightunsigned("at", 28)
-    pairs = posted.repartition(token).sortWithinPartitions("at").mapInArrow(run, "a bigint, b bigint, n int")
-    return pairs.repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
+    pairs = posted.repartition(token).sortWithinPartitions("at").mapInArrow(run, "a bigint, bn bigint")
+    # b above its number of meetings, of which no more than 255 need counting
+    split = pairs.repartition("a").select("a", F.shiftright("bn", 8).alias("b"), F.col("bn").bitwiseAND(255).alias("n"))
+    return split.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
 
 
 #: Fewest and most parts of the hash range in which the suffix filter counts, as powers of two.
@@ -324,6 +327,7 @@ def filtered(pairs: DataFrame, known: DataFrame) -> DataFrame:
             good = pa.array(apart <= size_a + size_b - 2 * least_overlap(size_a, size_b))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
+    # pairs lie by a already, classes by their number for both joins
     both = pairs.join(left, "a").join(right, "b").where(F.col("id_a") != F.col("id_b"))
     return both.select("id_a", "id_b", "size_a", "size_b", "profile_a", "profile_b").mapInArrow(run, "a string, b string")
 
@@ -362,7 +366,7 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 
 def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b) class ids of the candidates whose texts are similar: suffix filter first, then each pair exactly once."""
-    left_over = cut(filtered(pairs, known.dropDuplicates(["class_id"])), "filtered")
+    left_over = cut(filtered(pairs, known.drop("source_id").repartition("class_no").dropDuplicates(["class_no", "class_id"])), "filtered")
     own = needed(left_over, texts)
     left = own.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
     right = own.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
