@@ -54,3 +54,13 @@ def hit_windows(text: Column, pattern: str, before: int, after: int) -> Column:
 
     n = F.size(hits)
     return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), step, add)["w"])
+
+
+def title_and_rest(text: Column) -> tuple[Column, Column]:
+    """(first top heading of a Markdown text, the text without that line's heading); null and the whole text where there is none."""
+    line = F.regexp_extract(text, r"(?:^|[\r\n])(#[ \t]+[^\r\n]+)", 1)
+    # the heading stands at the start or after a line end
+    at = F.when(F.startswith(text, line), F.lit(1)).otherwise(F.regexp_instr(text, F.lit(r"[\r\n]#[ \t]+[^\r\n]+")) + 1)
+    title = F.when(line != "", F.trim(F.regexp_replace(line, r"^#[ \t]+", "")))
+    rest = F.when(line != "", F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + F.length(line), F.length(text)))).otherwise(text)
+    return title, rest

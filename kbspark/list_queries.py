@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kbspark.document_queries import _EACH, _docs, _each, _hash_sql
-from kbspark.functions import messages
+from kbspark.document_queries import _CHANGES, _EACH, _docs, _each, _hash_sql
+from kbspark.functions import markup, messages
 from kbspark.functions.text import blank_to_null, canonical_id
 from kbspark.operators import incremental, lists, order, quality
 from kbspark.operators.documents import contents, listing
@@ -58,6 +58,24 @@ def _sizes(spark, folder):
     return docs.select("source_id", F.split_part("source_path", F.lit("/"), F.lit(1)).alias("department"), F.length("content").cast("bigint").alias("chars"))
 
 
+def _conflicts(spark, folder):
+    flagged = table(spark, folder, "relation_verification").select(blank_to_null("relation_id").alias("relation_id"), F.explode(messages.json_list(F.col("risk_flags"))).alias("flag")).where("flag = '冲突'").select("relation_id").distinct()
+    now, before = (x.select("source_id", F.coalesce("extracted_hash", "source_hash").alias("content_hash")) for x in _last_two(spark, folder))
+    return lists.conflict_signatures(_relations(spark, folder).join(flagged, "relation_id", "left_semi").select("relation_id", "source_id", "target_id"), now, before)
+
+
+def _change_list(spark, folder):
+    """The changes of each scan, the most pressing first, then by id: every change with its place in the list."""
+    kind = F.array_position(F.array(*map(F.lit, incremental.KINDS)), F.col("change_type"))
+    changes = incremental.change_flags(_each(spark, folder)).where("change_type <> 'unchanged'").select("snapshot_id", "source_id", "change_type", kind.alias("kind"))
+    return order.numbered(changes, "snapshot_id", "kind", "source_id").select("snapshot_id", "source_id", "change_type", F.col("n").alias("place"))
+
+
+def _titles(spark, folder):
+    title, rest = markup.title_and_rest(F.col("content"))
+    return _texts(spark, folder).select("source_id", title.alias("title"), F.sha2(rest, 256).alias("rest_hash"))
+
+
 QUERIES = {
     "related_documents": lambda s, d: lists.related_documents(_relations(s, d)),
     "relations_by_type": lambda s, d: lists.relations_by_type(_relations(s, d)),
@@ -85,6 +103,11 @@ QUERIES = {
     "risk_flags": lambda s, d: table(s, d, "relation_verification").select("relation_id", F.explode(messages.json_list(F.col("risk_flags"))).alias("flag")).where(blank_to_null("relation_id").isNotNull()).distinct(),
     "stale_documents": lambda s, d: _docs(s, d).where(F.exists(F.concat(F.coalesce("version_signals", F.array().cast("array<string>")), F.array(F.coalesce("content", F.lit("")))), lambda x: x.rlike(messages.STALE))).select("source_id"),
     "visible_endings": _endings,
+    "conflict_signatures": _conflicts,
+    "unseen_contents": lambda s, d: lists.unseen_contents(_listing(s, d), _each(s, d).where("next_snapshot_id is not null")),
+    "longest_names": lambda s, d: lists.longest_names(_listing(s, d)),
+    "change_list": _change_list,
+    "markdown_titles": _titles,
 }
 
 _REL = f"""rel AS (SELECT * FROM (SELECT nullif({strip_sql('relation_id')}, '') AS relation_id, nullif(upper({strip_sql('source_id')}), '') AS source_id, nullif(upper({strip_sql('target_id')}), '') AS target_id, lower({strip_sql('verification_status')}) AS status, nullif({strip_sql('verified_relation_type')}, '') AS type, nullif({strip_sql('review_level')}, '') AS level, verified_at FROM relation_verification) WHERE relation_id IS NOT NULL
@@ -137,4 +160,14 @@ SELECT source_id, sha256(array_to_string(list_transform(t, lambda x, i: x || coa
 SELECT file_name, rtrim(substr(CASE WHEN t = '' THEN '未命名' ELSE t END, 1, 20)) AS safe, substr(replace(trim(regexp_replace(coalesce(file_name, ''), '\\s+', ' ', 'g')), '|', '｜'), 1, 20) AS inline FROM f""",
     "risk_flags": f"SELECT DISTINCT relation_id, unnest(CASE WHEN coalesce(risk_flags, '') = '' THEN [] WHEN NOT json_valid(risk_flags) THEN [risk_flags] ELSE coalesce(TRY_CAST(risk_flags AS JSON)->>'$[*]', []) END) AS flag FROM relation_verification WHERE {strip_sql('relation_id')} <> ''",
     "stale_documents": f"{_EACH} SELECT source_id FROM docs WHERE len(list_filter(list_concat(coalesce(version_signals, []), [coalesce(content, '')]), lambda x: regexp_matches(x, '{messages.STALE}'))) > 0",
+    "conflict_signatures": f"""{_LAST}, {_REL}, f AS (SELECT DISTINCT {strip_sql('relation_id')} AS relation_id FROM relation_verification WHERE json_valid(risk_flags) AND list_contains(TRY_CAST(risk_flags AS JSON)->>'$[*]', '冲突') OR risk_flags = '冲突'),
+a AS (SELECT source_id AS id, coalesce(extracted_hash, source_hash, '') AS h FROM last), b AS (SELECT source_id AS id, coalesce(extracted_hash, source_hash, '') AS h FROM old)
+SELECT rel.relation_id, sha256(concat_ws('|', rel.source_id, coalesce(sa.h, ''), rel.target_id, coalesce(ta.h, ''))) AS signature, NOT coalesce(sa.h = sb.h AND ta.h = tb.h, false) AS is_new
+FROM rel JOIN f USING (relation_id) LEFT JOIN a sa ON sa.id = rel.source_id LEFT JOIN a ta ON ta.id = rel.target_id LEFT JOIN b sb ON sb.id = rel.source_id LEFT JOIN b tb ON tb.id = rel.target_id""",
+    "unseen_contents": f"{_LAST} SELECT coalesce(extracted_hash, source_hash) AS content_hash, count(*) AS records FROM last WHERE coalesce(extracted_hash, source_hash) IS NOT NULL AND coalesce(extracted_hash, source_hash) NOT IN (SELECT coalesce(extracted_hash, source_hash) FROM each WHERE k < n AND coalesce(extracted_hash, source_hash) IS NOT NULL) GROUP BY 1",
+    "longest_names": f"{_LAST} SELECT {_FOLDER} AS folder, arg_min(file_name, (-length(file_name), file_name)) AS file_name FROM last WHERE {_FOLDER} <> '' AND file_name IS NOT NULL GROUP BY 1",
+    "change_list": f"{_EACH}{_CHANGES} SELECT snapshot_id, source_id, f[1] AS change_type, row_number() OVER (ORDER BY snapshot_id, list_position({list(incremental.KINDS)}, f[1]), source_id) AS place FROM flagged WHERE f[1] <> 'unchanged'",
+    "markdown_titles": f"""WITH {_TEXTS}, h AS (SELECT *, regexp_extract(content, '(?:^|[\\r\\n])(#[ \\t]+[^\\r\\n]+)', 1) AS l, regexp_extract(content, '((?:^|[\\r\\n])#[ \\t]+[^\\r\\n]+)', 1) AS w FROM texts1),
+p AS (SELECT *, instr(content, w) + length(w) - length(l) AS a FROM h)
+SELECT source_id, CASE WHEN l <> '' THEN trim(regexp_replace(l, '^#[ \\t]+', '')) END AS title, sha256(CASE WHEN l <> '' THEN substr(content, 1, a - 1) || substr(content, a + length(l)) ELSE content END) AS rest_hash FROM p""",
 }

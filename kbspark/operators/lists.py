@@ -121,3 +121,34 @@ def metadata_times(docs: DataFrame, relations: DataFrame) -> DataFrame:
     ends = relations.where("status = 'confirmed'").select(F.explode(F.array_distinct(F.array("source_id", "target_id"))).alias("source_id"), F.unix_micros(F.col("verified_at").cast("timestamp")).alias("v"))
     seen = ends.where("source_id is not null").groupBy("source_id").agg(F.max("v").alias("verified"))
     return docs.select("source_id", "updated").join(seen, "source_id", "left").select("source_id", "updated", "verified", F.greatest("updated", "verified").alias("latest"))
+
+
+def conflict_signatures(relations: DataFrame, hashes: DataFrame, known: DataFrame) -> DataFrame:
+    """(relation_id, signature, is_new) of the relations flagged as conflicts: both ends with the contents they have, and whether those were seen so before.
+
+    ``relations`` has relation_id, source_id and target_id of the flagged ones; ``hashes`` and
+    ``known`` have source_id and content_hash, now and then. A conflict is known if both ends
+    had the same contents then.
+    """
+    rows = relations
+    for end in ("source", "target"):
+        for when, table in (("now", hashes), ("then", known)):
+            rows = rows.join(table.select(F.col("source_id").alias(f"{end}_id"), F.coalesce("content_hash", F.lit("")).alias(f"{end}_{when}")), f"{end}_id", "left")
+    same = F.lit(True)
+    for end in ("source", "target"):
+        same = same & F.col(f"{end}_now").eqNullSafe(F.col(f"{end}_then")) & F.col(f"{end}_then").isNotNull()
+    text = F.concat_ws("|", "source_id", F.coalesce("source_now", F.lit("")), "target_id", F.coalesce("target_now", F.lit("")))
+    return rows.select("relation_id", F.sha2(text, 256).alias("signature"), (~same).alias("is_new"))
+
+
+def unseen_contents(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(content_hash, records): contents of the listing that no earlier one had, which nothing is known of yet."""
+    key = F.coalesce("extracted_hash", "source_hash").alias("content_hash")
+    rows = now.select(key).where("content_hash is not null").groupBy("content_hash").agg(F.count(F.lit(1)).alias("records"))
+    return rows.join(before.select(key), "content_hash", "left_anti")
+
+
+def longest_names(docs: DataFrame) -> DataFrame:
+    """(folder, file_name): the longest file name of each folder, of equal ones the first."""
+    rows = docs.select(parent_folder(F.col("source_path")).alias("folder"), F.struct((-F.length("file_name")).alias("n"), "file_name").alias("r")).where("folder is not null and file_name is not null")
+    return rows.groupBy("folder").agg(F.min("r").alias("r")).select("folder", "r.file_name")

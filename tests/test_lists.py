@@ -7,9 +7,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kbspark.functions import messages
+from kbspark.functions import markup, messages
 from kbspark.functions.titles import business_ids
-from kbspark.operators import incremental, lists, order
+from kbspark.operators import incremental, lists, order, relations
 
 
 def test_numbers_follow_the_order_over_all_partitions(spark):
@@ -133,3 +133,40 @@ def test_relations_from_either_end(spark):
 def test_third_kind_of_business_ids(spark):
     text = "PRJ-123a ticket_77 work-900 ABC-2024-7 AB/123 abc-123 A-123 XY-12"
     assert set(one(spark, business_ids, text)) == {"PRJ-123A", "WORK-900", "ABC-2024-7", "AB/123"}
+
+
+def test_links_ids_and_numbers_in_texts(spark):
+    """Rules that find nothing in the given tables, on rows of their own."""
+    rows = [
+        ("KB-00000000000A", "a.md", "n1", "see https://x.example/i/nodes/n2?q and https://x.example/nodes/none, PRJ 1234", None),
+        ("KB-00000000000B", "b ABC-2024-7.md", "n2", "as kb-00000000000a says, KB-00000000000B too; prj-1234", None),
+        ("KB-00000000000C", "c.md", None, "ABC-2024-7 and https://x.example/spaces/n1", None),
+        ("KB-00000000000D", "d.md", " ", None, None),
+    ]
+    docs = spark.createDataFrame(rows, "source_id string, file_name string, node_id string, content string, bucket string")
+    a, b, c = (f"KB-00000000000{x}" for x in "ABC")
+    assert {tuple(r) for r in relations.linked_nodes(docs).collect()} == {(a, b), (c, a)}
+    assert {(r.source_id, r.target_id) for r in relations.mentioned_ids(docs).collect()} == {(b, a)}
+    got = {(r.bucket, r.source_id) for r in relations.same_business_id(docs).collect()}
+    assert got == {("ABC-2024-7", b), ("ABC-2024-7", c)}
+
+
+def test_buckets_over_their_bound_make_no_pairs(spark):
+    members = [("same folder", "f", f"K{i:03}", 51) for i in range(51)]
+    df = spark.createDataFrame(members, "rule string, bucket string, source_id string, members long")
+    assert relations.pairs_within(df.where(F.col("members") <= relations.BOUNDS["same folder"]), 50).count() == 0
+    assert relations.pairs_within(df).count() == 50
+
+
+def test_titles_of_markdown(spark):
+    title, rest = markup.title_and_rest(F.col("t"))
+    rows = ["# A \nb # c", "x\r\n#  B\n# C", "## no", "", None, "#none\n# Yes"]
+    got = [tuple(r) for r in spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").orderBy("i").select(title, rest).collect()]
+    assert got == [("A", "\nb # c"), ("B", "x\r\n\n# C"), (None, "## no"), (None, ""), (None, None), ("Yes", "#none\n")]
+
+
+def test_conflicts_are_known_while_contents_stay(spark):
+    r = spark.createDataFrame([("r1", "A", "B"), ("r2", "A", "C"), ("r3", "A", "D"), ("r4", None, "A")], "relation_id string, source_id string, target_id string")
+    h = spark.createDataFrame([("A", "1"), ("B", "2"), ("C", "3"), ("D", "4")], "source_id string, content_hash string")
+    k = spark.createDataFrame([("A", "1"), ("B", "2"), ("C", "9")], "source_id string, content_hash string")
+    assert {x.relation_id: x.is_new for x in lists.conflict_signatures(r, h, k).collect()} == {"r1": False, "r2": True, "r3": True, "r4": True}
