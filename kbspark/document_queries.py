@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kbspark.functions import titles as T
 from kbspark.functions.times import instant_micros
 from kbspark.operators import folders, incremental, neighbours, relations
-from kbspark.operators.documents import documents, listing
+from kbspark.operators.documents import documents, listing, readings
 from kbspark.plans.lineage import cut
 from kbspark.snapshot_queries import strip_sql
 from kbspark.sources.tables import table
@@ -117,7 +117,7 @@ def _missing(spark, folder):
 
 
 def _state(spark, folder):
-    return incremental.applied_state(_each(spark, folder), incremental.numbered_scans(table(spark, folder, "snapshots")))
+    return incremental.applied_state(readings(table(spark, folder, "raw_manifest")), incremental.numbered_scans(table(spark, folder, "snapshots")))
 
 
 QUERIES = {

@@ -13,16 +13,8 @@ from kbspark.plans.skew import small
 _FIELDS = ("file_name", "source_path", "node_id", "parent_node_id", "source_url", "content_type", "creator_uid", "permission_hash")
 
 
-def listing(manifest: DataFrame, snapshots: DataFrame, last_only: bool = True) -> DataFrame:
-    """One row per record of the last complete scan (or of each), of repeated readings the one loaded last.
-
-    Canonical id, extension and hashes; update_time as an instant in microseconds. Ties go to
-    the greatest row. Partial aggregates meet before the shuffle, so that a record that is
-    repeated often makes no large group.
-    """
-    scans = complete_scans(snapshots)
-    if last_only:
-        scans = scans.where(F.col("next_snapshot_id").isNull())
+def readings(manifest: DataFrame) -> DataFrame:
+    """(snapshot_id, source_id, r) of the rows with an id; ``r`` is the row with canonical fields, of which the greatest counts: the one loaded last."""
     rows = manifest.select(
         "snapshot_id",
         canonical_id("source_id").alias("source_id"),
@@ -35,8 +27,21 @@ def listing(manifest: DataFrame, snapshots: DataFrame, last_only: bool = True) -
             canonical_hash("extracted_hash").alias("extracted_hash"),
             "extracted_chars",
         ).alias("r"),
-    ).where(F.col("source_id").isNotNull())
-    return rows.join(small(scans), "snapshot_id").groupBy("source_id", "snapshot_id", "next_snapshot_id", "is_first").agg(F.max("r").alias("r")).select("source_id", "snapshot_id", "next_snapshot_id", "is_first", "r.*")
+    )
+    return rows.where(F.col("source_id").isNotNull())
+
+
+def listing(manifest: DataFrame, snapshots: DataFrame, last_only: bool = True) -> DataFrame:
+    """One row per record of the last complete scan (or of each), of repeated readings the one loaded last.
+
+    Canonical id, extension and hashes; update_time as an instant in microseconds. Ties go to
+    the greatest row. Partial aggregates meet before the shuffle, so that a record that is
+    repeated often makes no large group.
+    """
+    scans = complete_scans(snapshots)
+    if last_only:
+        scans = scans.where(F.col("next_snapshot_id").isNull())
+    return readings(manifest).join(small(scans), "snapshot_id").groupBy("source_id", "snapshot_id", "next_snapshot_id", "is_first").agg(F.max("r").alias("r")).select("source_id", "snapshot_id", "next_snapshot_id", "is_first", "r.*")
 
 
 def contents(semantic: DataFrame) -> DataFrame:

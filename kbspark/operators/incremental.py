@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kbspark.plans.skew import small
+
 #: Kinds of change, most pressing first.
 KINDS = ("missing", "new", "content_check", "permission_changed", "moved", "renamed", "metadata_changed", "unchanged")
 
@@ -85,9 +87,14 @@ def reclassified(each: DataFrame) -> DataFrame:
     return rows.select("snapshot_id", "source_id", outcome.alias("outcome"))
 
 
-def applied_state(each: DataFrame, scans: DataFrame) -> DataFrame:
-    """(source_id, snapshot_id, file_name, source_hash): the state after the last scan; a record that is gone keeps its last row."""
-    return each.join(scans, "snapshot_id").groupBy("source_id").agg(F.max_by(F.struct("snapshot_id", "file_name", "source_hash"), "scan_no").alias("s")).select("source_id", "s.*")
+def applied_state(rows: DataFrame, scans: DataFrame) -> DataFrame:
+    """(source_id, snapshot_id, file_name, source_hash): the state after the last scan; a record that is gone keeps its last row.
+
+    ``rows`` is ``documents.readings``: one aggregate over the rows as delivered, in which the
+    scan counts before what decides between repeated readings.
+    """
+    last = rows.join(small(scans), "snapshot_id").groupBy("source_id").agg(F.max(F.struct("scan_no", "r", "snapshot_id")).alias("s"))
+    return last.select("source_id", "s.snapshot_id", "s.r.file_name", "s.r.source_hash")
 
 
 def change_states(each: DataFrame, scans: DataFrame, confirm: int = 2, audit: bool = False) -> DataFrame:
