@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,43 @@ def test_every_copy_has_its_neighbours(spark, monkeypatch):
     assert "none" not in got
 
 
+@pytest.mark.parametrize(("threshold", "vocabulary"), [(0.12, 40), (0.5, 40), (0.12, 2000)])
+def test_blocks_find_the_nearest_both_ways(monkeypatch, threshold, vocabulary):
+    for name, value in (("CHUNK", 7), ("POSTINGS", 9), ("PAIRS", 5)):
+        monkeypatch.setattr(neighbours, name, value)
+    rnd = np.random.default_rng(vocabulary)
+    tables = []
+    for n in (60, 45):
+        x = np.zeros((n, vocabulary))
+        for r in x:
+            # few words are in most rows, most are rare; rows of one word give equal cosines
+            r[np.unique((vocabulary * rnd.random(rnd.integers(1, 12)) ** 3).astype(int))] = 1
+        tables.append(x / np.sqrt((x * x).sum(axis=1))[:, None])
+    rows = [neighbours._Rows(np.concatenate([[0], np.cumsum((x > 0).sum(axis=1))]), x.nonzero()[1], x[x > 0]) for x in tables]
+    for left, right, a, b, same in ((*rows, *tables, False), (rows[0], rows[0], tables[0], tables[0], True)):
+        got: dict = {}
+        for turned, s, t, c in neighbours.best_of_blocks(left, right, same, vocabulary, threshold, 4):
+            for k in range(len(s)):
+                got.setdefault((turned, int(s[k])), []).append((int(t[k]), float(c[k])))
+        for turned in (False, True)[: 2 - same]:
+            scores = np.round((a @ b.T).T if turned else a @ b.T, 6)
+            for s in range(len(scores)):
+                want = sorted((-c, t) for t, c in enumerate(scores[s].tolist()) if c >= threshold and not (same and s == t))[:4]
+                assert [(t, c) for t, c in got.get((turned, s), [])] == [(t, -c) for c, t in want]
+
+
+def test_cosine_neighbours_shuffle_no_pairs(spark):
+    rows = [(f"d{i:03}", "alpha beta", None, f"word{i} gamma", None, None) for i in range(40)]
+    found = neighbours.cosine_neighbours(spark.createDataFrame(rows, PROFILE), 0.1)
+    assert "SortMergeJoin" not in (plan := found._jdf.queryExecution().toString()) and "Join" not in plan.split("== Physical Plan ==")[1]
+    got: dict = {}
+    for r in found.orderBy("source_id", "rank").collect():
+        got.setdefault(r.source_id, []).append(r.target_id)
+    # all cosines are equal: the smallest ids count
+    ids = [f"d{i:03}" for i in range(40)]
+    assert got == {i: [j for j in ids if j != i][:10] for i in ids}
+
+
 def test_whole_evidence_has_all_rules(spark, monkeypatch):
     monkeypatch.setattr(relations, "BLOCK", 2)
     schema = PROFILE + ", content string, node_id string, source_path string, document_role string, page_type_candidate string, inputs array<string>, outputs array<string>, version_signals array<string>, explicit_references array<struct<target_text: string>>"
