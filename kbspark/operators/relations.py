@@ -175,7 +175,8 @@ def whole_evidence(docs: DataFrame) -> DataFrame:
     """(source_id, target_id, rule, cosine): ``evidence`` and what outputs and inputs, roles and near words say; cosine for near words only."""
     docs = cut(docs, "docs")  # the ten rules would each plan and read the listing again
     more = output_input_pairs(docs).withColumn("rule", F.lit("output to input")).unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
-    near = near_pairs(docs).withColumn("rule", F.lit("near words"))
+    # a plan of its own: one for all ten rules is more than the driver holds
+    near = cut(near_pairs(docs), "near").withColumn("rule", F.lit("near words"))
     return evidence(docs, BOUNDS).unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
 
 

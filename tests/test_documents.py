@@ -160,3 +160,11 @@ def test_whole_evidence_has_all_rules(spark, monkeypatch):
     assert got["C0", "C1"].rules == "complementary roles/near words" and got["C1", "C2"].rules == "near words"
     assert 22.66 == got["C0", "C1"].score and got["C1", "C2"].score > 2.12
     assert {k for k in got if k[0][0] == "D"} == {(f"D{i}", f"D{j}") for i in range(0, 10, 2) for j in range(1, 10, 2)}
+
+
+def test_near_words_have_a_plan_of_their_own(spark):
+    schema = PROFILE + ", content string, node_id string, source_path string, document_role string, page_type_candidate string, inputs array<string>, outputs array<string>, version_signals array<string>, explicit_references array<struct<target_text: string>>"
+    rows = [(f"E{i}", "alpha beta", None, None, None, None, None, None, f"e{i}/e", None, None, None, None, None, None) for i in range(3)]
+    found = relations.whole_evidence(spark.createDataFrame(rows, schema))
+    assert "FlatMapGroupsInArrow" not in found._jdf.queryExecution().toString()
+    assert sum(r.rule == "near words" for r in found.collect()) == 3
