@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbspark.functions.text import canonical_id
 from kbspark.llm.corpus import corpus_counts
 from kbspark.llm.grouping import connected_groups
 from kbspark.llm.units import mix
-from kbspark.plans.lineage import cut
+from kbspark.plans.lineage import cut, cut_by
 from kbspark.plans.skew import small
 
 #: Fixed by the problem: similarity, characters in a sequence, shortest compared text.
@@ -23,10 +26,12 @@ THRESHOLD, N, SHORTEST = 0.7, 5, 100
 #: Sequences two similar texts must share among their rarest ones, beyond what the prefix filter asks.
 SHARED = 8
 SKETCH_BITS = 24
-#: Postings of one sequence that are joined in one piece.
-BLOCK = 512
-#: Postings that a task looks at, and meetings that it counts, at once.
-STREAMED, COUNTED = 1 << 20, 2_000_000
+#: Texts and postings of a group at most, and groups there are at least where each has as many postings as LEAST.
+BLOCK, POSTED, GROUPS, LEAST = 1 << 16, 8_000_000, 12, 100_000
+#: Postings that a task looks for, and meetings that it counts, at once.
+STREAMED, COUNTED = 1 << 19, 2_000_000
+#: Groups that a task compares with one other.
+BESIDE = 4
 #: Copies of one text that are joined in one piece.
 COPIES = 1000
 
@@ -61,8 +66,7 @@ class Texts:
     """The compared texts of a task's batches; with ``once``, copies within the task only once.
 
     A text is named by a 128-bit hash that all its copies share, its class, so that copies
-    are never gathered: a third of all rows may be copies of one text. ``no`` is its first 36
-    bits.
+    are never gathered: a third of all rows may be copies of one text.
     """
 
     def __init__(self, once: bool):
@@ -81,10 +85,6 @@ class Texts:
                     yield row, name, c
 
 
-def class_no(name: int) -> int:
-    return name >> 92
-
-
 def every_sequence(codes: np.ndarray | str) -> np.ndarray:
     """Hashes of the sequences of N characters, in order, with repeats."""
     if isinstance(codes, str):
@@ -107,19 +107,31 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
-    """How often the sequences of each hash bucket occur, over all texts, on a scale of 1/8 octaves.
+#: Steps of lengths of a hundredth, up to the longest text there can be.
+_LENGTHS = 2048
+
+
+def _step(length: int) -> int:
+    return int(100 * math.log(length / SHORTEST)) if length > SHORTEST else 0
+
+
+def rarity(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, lengths, postings): how often the sequences of each hash bucket occur, over all texts, on a scale of 1/8 octaves; how many texts there are of each step of lengths, and how many postings they have at most.
 
     2^24 bytes at any size. A bucket's count is at least the number of texts that have one of
     its sequences: code 0 means that at most one text has it, so that it can't be shared.
     """
+    sketch = 1 << SKETCH_BITS
 
     def add(counts: np.ndarray, batch: pa.RecordBatch) -> None:
         for _, _, c in Texts(once=True).of(batch):
             np.add.at(counts, _bucket(every_sequence(c)), 1)
+            counts[sketch + _step(len(c))] += 1
+            counts[sketch + _LENGTHS + _step(len(c))] += prefix_length(len(c))
 
-    counts = corpus_counts(texts.select("content", "summary"), add, 1 << SKETCH_BITS)
-    return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
+    counts = corpus_counts(texts.select("content", "summary"), add, sketch + 2 * _LENGTHS)
+    codes = np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts[:sketch], 1)))).astype(np.uint8)
+    return codes, counts[sketch : sketch + _LENGTHS], counts[sketch + _LENGTHS :]
 
 
 def prefix_length(size: int) -> int:
@@ -132,136 +144,6 @@ def least_overlap(a, b):
     return np.ceil(THRESHOLD / (1 + THRESHOLD) * (a + b) - 1e-9)
 
 
-_LOW = (1 << 28) - 1
-
-
-def postings(texts: DataFrame, codes: np.ndarray) -> DataFrame:
-    """(at, whose): the rarest sequences of each text, without those that only one text has.
-
-    ``at`` is 36 bits of the sequence's hash above 28 bits of its rank in the text, rarest
-    first; ``whose`` is class_no above the number of sequences of the text. A sequence that
-    more than BLOCK texts have is joined in parts: texts fall into blocks, and each text goes
-    to every pair of blocks with its own, so that no task holds all texts with a sequence and
-    none is left out. (Equal hash bits of different sequences only add candidates.)
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(codes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = shared.value
-        own_texts = Texts(once=True)
-        for batch in batches:
-            for b in range(0, batch.num_rows, 256):
-                at: list[np.ndarray] = []
-                whose: list[np.ndarray] = []
-                for _, name, codes_ in own_texts.of(batch.slice(b, 256)):
-                    h, no = sequences(codes_), class_no(name)
-                    code = codes[_bucket(h)]
-                    order = (code.astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
-                    first = np.argsort(order)[: prefix_length(len(h))]
-                    rank = np.arange(len(first), dtype=np.uint64)
-                    kept = code[first] > 0
-                    first, rank = first[kept], rank[kept]
-                    token, many = h[first], np.ceil(2.0 ** (code[first] / 8.0) / BLOCK).astype(np.int64)
-                    if len(many) and many.max() > 1:
-                        copies = np.repeat(np.arange(len(token)), many)
-                        other = np.arange(len(copies)) - np.repeat(np.cumsum(many) - many, many)
-                        own = no % many[copies]
-                        pair = np.where(many[copies] > 1, np.minimum(own, other) * many[copies] + np.maximum(own, other) + 1, 0)
-                        token, rank = token[copies], rank[copies]
-                        token = np.where(pair > 0, mix(token, pair.astype(np.uint64)), token)
-                    at.append((token & ~np.uint64(_LOW)) | rank)
-                    whose.append(np.full(len(token), (no << 28) | len(h), dtype=np.uint64))
-                if at:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (at, whose)], names=["at", "whose"])
-
-    return texts.select("content", "summary").mapInArrow(run, "at bigint, whose bigint")
-
-
-def _met(at: np.ndarray, whose: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(class_no, class_no) of all texts with one sequence in common that pass the length and positional filters."""
-    at, whose = at.view(np.uint64), whose.view(np.uint64)
-    token, rank = at >> np.uint64(28), (at & np.uint64(_LOW)).astype(np.int32)
-    no, size = (whose >> np.uint64(28)).astype(np.int64), (whose & np.uint64(_LOW)).astype(np.int32)
-    order = np.lexsort((size, token))
-    token, rank, no, size = token[order], rank[order], no[order], size[order]
-    # the shorter text of a pair shares most of itself: only its very rarest sequences count
-    near = (rank < size - least_overlap(size, size) + SHARED).nonzero()[0]
-    step = 0
-    while True:
-        step += 1
-        near = near[near + step < len(token)]
-        far = near + step
-        # sizes ascend within a sequence: once the longer text is too long, so are all after it
-        near = near[(token[near] == token[far]) & (size[near] >= THRESHOLD * size[far] - 1e-9)]
-        if not len(near):
-            return
-        far = near + step
-        # of the first SHARED common sequences each has fewer than SHARED common ones before it
-        rest = np.minimum(size[near] - rank[near], size[far] - rank[far]) - 1
-        good = (rest + SHARED >= least_overlap(size[near], size[far])) & (no[near] != no[far])
-        a, b = no[near][good], no[far][good]
-        # of few sequences a pair shares fewer than SHARED, at least least_overlap: each of its meetings counts for several
-        share = least_overlap(size[near][good], size[far][good]).astype(np.int64)
-        if len(share) and share.min() < SHARED:
-            times = -(-SHARED // np.minimum(SHARED, share))
-            a, b = np.repeat(a, times), np.repeat(b, times)
-        yield np.minimum(a, b), np.maximum(a, b)
-
-
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The postings of a partition sorted by sequence, in pieces between two sequences."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    n = 0
-    for b in batches:
-        held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
-        n += b.num_rows
-        if n >= STREAMED:
-            at, whose = (np.concatenate(x) for x in zip(*held))
-            token = at.view(np.uint64) >> np.uint64(28)
-            last = int((token != token[-1]).nonzero()[0][-1]) + 1 if token[0] != token[-1] else 0
-            if last:
-                yield at[:last], whose[:last]
-            held, n = [(at[last:], whose[last:])], len(at) - last
-    if n:
-        yield tuple(np.concatenate(x) for x in zip(*held))
-
-
-def _counted(kept: list[np.ndarray]) -> pa.RecordBatch:
-    a, b = np.concatenate(kept, axis=1)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    start = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]).nonzero()[0]
-    n = np.minimum(255, np.diff(np.append(start, len(a))))
-    return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array((b[start] << 8) | n)], names=["a", "bn"])
-
-
-def candidates(posted: DataFrame) -> DataFrame:
-    """(a, b) class numbers of the pairs that meet at SHARED or more of their rarest sequences, or at as many as they must share if those are fewer.
-
-    A task goes through its sequences in order, some at a time. The pairs of one text go to
-    one task, in order, which keeps what is shuffled of a pair short.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
-        held = 0
-        for at, whose in _streams(batches):
-            for a, b in _met(at, whose):
-                kept.append(np.stack([a, b]))
-                held += len(a)
-                if held > COUNTED:
-                    yield _counted(kept)
-                    kept, held = [], 0
-        if held:
-            yield _counted(kept)
-
-    token = F.shiftrightunsigned("at", 28)
-    pairs = posted.repartition(token).sortWithinPartitions("at").mapInArrow(run, "a bigint, bn bigint")
-    # b above its number of meetings, of which no more than 255 need counting
-    split = pairs.repartition("a").select("a", F.shiftright("bn", 8).alias("b"), F.col("bn").bitwiseAND(255).alias("n"))
-    return split.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARED).select("a", "b")
-
-
 #: Fewest and most parts of the hash range in which the suffix filter counts, as powers of two.
 LEAST_PARTS, MOST_PARTS = 7, 13
 
@@ -294,42 +176,187 @@ def apart_at_least(x: list[bytes], y: list[bytes]) -> np.ndarray:
     return out
 
 
-def profiles(texts: DataFrame) -> DataFrame:
-    """(source_id, class_id, class_no, size, profile) of every row with a compared text."""
+def members_of(texts: DataFrame) -> DataFrame:
+    """(source_id, class_id) of every row with a compared text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids, nos, size, out = [], [], [], [], []
-            for row, name, c in Texts(once=False).of(batch):
-                h = sequences(c)
-                rows.append(row)
-                ids.append(f"{name:032x}")
-                nos.append(class_no(name))
-                size.append(len(h))
-                out.append(_profile(h))
-            source = batch.column("source_id").take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([source, pa.array(ids, pa.string()), pa.array(nos, pa.int64()), pa.array(size, pa.int64()), pa.array(out, pa.binary())], names=["source_id", "class_id", "class_no", "size", "profile"])
-
-    return texts.mapInArrow(run, "source_id string, class_id string, class_no bigint, size bigint, profile binary")
-
+            found = [(row, f"{name:032x}") for row, name, _ in Texts(once=False).of(batch)]
+            source = batch.column("source_id").take(pa.array([r for r, _ in found], pa.int64()))
+            yield pa.RecordBatch.from_arrays([source, pa.array([i for _, i in found], pa.string())], names=["source_id", "class_id"])
+
+    return texts.mapInArrow(run, "source_id string, class_id string")
+
+
+def _groups(lengths: np.ndarray, postings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, parts): the groups of each step of lengths; a step with too many texts or postings is spread over several, short ones lie together."""
+    most = min(POSTED, max(LEAST, int(postings.sum()) // GROUPS))
+    first, parts = np.zeros(_LENGTHS, dtype=np.int64), np.ones(_LENGTHS, dtype=np.int64)
+    group, texts, held = 0, 0, 0
+    for step in np.nonzero(lengths)[0]:
+        n, p = int(lengths[step]), int(postings[step])
+        if texts and (texts + n > BLOCK or held + p > most):
+            group, texts, held = group + 1, 0, 0
+        first[step], parts[step] = group, max(1, -(-n // BLOCK), -(-p // most))
+        texts, held = texts + n, held + p
+        if parts[step] > 1:
+            group, texts, held = group + int(parts[step]), 0, 0
+    return first, parts
+
+
+def grouped(texts: DataFrame, codes: np.ndarray, lengths: np.ndarray, postings: np.ndarray) -> str:
+    """Where the table (grp, class_id, size, alone, tokens, profile) was written: the rarest sequences of each text, without those that only one text has.
+
+    ``tokens`` are 32 bits of each sequence's hash, rarest first, after the ``alone`` ones that
+    are left out (equal hash bits of different sequences only add candidates). Texts of about
+    the same length make a group of a bounded size, one folder each.
+    """
+    first, parts = _groups(lengths, postings)
+    shared = texts.sparkSession.sparkContext.broadcast((codes, first, parts))
 
-def filtered(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b) class ids of the candidates that pass the suffix filter."""
-    left = known.select(F.col("class_no").alias("a"), F.col("class_id").alias("id_a"), F.col("size").alias("size_a"), F.col("profile").alias("profile_a"))
-    right = known.select(F.col("class_no").alias("b"), F.col("class_id").alias("id_b"), F.col("size").alias("size_b"), F.col("profile").alias("profile_b"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, first, parts = shared.value
+        own_texts = Texts(once=True)
+        for batch in batches:
+            for b in range(0, batch.num_rows, 256):
+                out: list[list] = [[] for _ in range(6)]
+                for _, name, c in own_texts.of(batch.slice(b, 256)):
+                    h, step = sequences(c), _step(len(c))
+                    code = codes[_bucket(h)]
+                    order = (code.astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+                    most = prefix_length(len(h))
+                    near = np.argpartition(order, most)[:most] if most < len(h) else np.arange(len(h))
+                    near = near[np.argsort(order[near])]
+                    # what only one text has is rarest of all
+                    alone = int((code[near] == 0).sum())
+                    row = (int(first[step]) + name % int(parts[step]), f"{name:032x}", len(h), alone, (h[near[alone:]] >> np.uint64(32)).astype(np.uint32).tobytes(), _profile(h))
+                    for column, x in zip(out, row):
+                        column.append(x)
+                if out[0]:
+                    kinds = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=["grp", "class_id", "size", "alone", "tokens", "profile"])
+
+    table = texts.select("content", "summary").mapInArrow(run, "grp int, class_id string, size int, alone int, tokens binary, profile binary")
+    return cut_by(table.repartition("grp"), "grp", "groups")
+
+
+class Group:
+    """The texts of one group in arrays: of each its class, size and profile; of each posting its text and rank, by the texts and by the tokens."""
+
+    def __init__(self, folder: str, group: int):
+        files, root = fs.FileSystem.from_uri(f"{folder}/grp={group}")
+        t = pa.concat_tables([pq.ParquetFile(files.open_input_file(x.path)).read() for x in files.get_file_info(fs.FileSelector(root)) if x.base_name.endswith(".parquet")])
+        ids = t.column("class_id").to_pylist()
+        # a copy in another task's rows
+        kept = pa.array(list({i: row for row, i in enumerate(ids)}.values()), pa.int64())
+        t = t.take(kept).combine_chunks()
+        self.ids, self.profiles = t.column("class_id").to_pylist(), t.column("profile").to_pylist()
+        self.size = t.column("size").to_numpy().astype(np.int32)
+        tokens = [np.frombuffer(x, dtype=np.uint32) for x in t.column("tokens").to_pylist()]
+        n = np.array([len(x) for x in tokens], dtype=np.int64)
+        self.start = np.concatenate([[0], np.cumsum(n)])
+        self.text = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        self.rank = (np.arange(len(self.text)) - np.repeat(self.start[:-1] - t.column("alone").to_numpy(), n)).astype(np.int32)
+        packed = np.concatenate([np.empty(0, np.uint32), *tokens]).astype(np.uint64) << np.uint64(32)
+        packed |= np.arange(len(packed), dtype=np.uint64)
+        packed.sort()
+        self.token, self.by = (packed >> np.uint64(32)).astype(np.uint32), (packed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _places(near: Group, far: Group) -> tuple[np.ndarray, np.ndarray]:
+    """(from, number) of the postings of ``far`` with the token of each posting of ``near``."""
+    least = np.zeros(len(near.by), dtype=np.int32)
+    many = np.zeros(len(near.by), dtype=np.int32)
+    size, wide = near.size, far.size
+    # a text has as many places as a longer one can need, and none if there is no longer one of its kind
+    index = np.where(size < THRESHOLD * wide.min() - 1e-9, 0, size - least_overlap(size, size) + SHARED)
+    for b in range(0, len(near.by), STREAMED):
+        by, token = near.by[b : b + STREAMED], near.token[b : b + STREAMED]
+        good = near.rank[by] < index[near.text[by]]
+        by, token = by[good], token[good]
+        least[by] = np.searchsorted(far.token, token)
+        many[by] = np.searchsorted(far.token, token, side="right") - least[by]
+    return least, many
+
+
+def _met(near: Group, far: Group, order: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text of near, text of far), the shorter one in ``near``, of all pairs that meet at SHARED or more of their rarest sequences, or at as many as they must share if those are fewer.
+
+    Of two groups texts of the same size count for ``order`` < 0 only. The texts of ``near`` are taken a few at a time, so that all meetings of a pair are
+    counted where they are found, and none is sent anywhere.
+    """
+    least, many = _places(near, far)
+    per = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+    upto = per[near.start]  # meetings before each text
+    t = 0
+    while t < len(near.size):
+        end = max(t + 1, int(np.searchsorted(upto, upto[t] + COUNTED, side="right")) - 1)
+        found, times = np.empty(0, np.int64), np.empty(0, np.int64)
+        p = int(near.start[t])
+        last = int(near.start[end])
+        while p < last:
+            # one text alone may have more meetings than are counted at once
+            q = min(last, max(p + 1, int(np.searchsorted(per, per[p] + COUNTED, side="right")) - 1))
+            n = many[p:q]
+            own = np.repeat(np.arange(p, q), n)
+            at = np.arange(len(own)) - np.repeat(per[p:q] - per[p], n) + np.repeat(least[p:q], n)
+            other = far.by[at]
+            i, j = near.text[own], far.text[other]
+            a, b = near.size[i], far.size[j]
+            # of the first SHARED common sequences each has fewer than SHARED common ones before it
+            rest = np.minimum(a - near.rank[own], b - far.rank[other]) - 1
+            good = (a <= b) & (a >= THRESHOLD * b - 1e-9) & (rest + SHARED >= least_overlap(a, b))
+            good &= (a < b) | (order < 0 if near is not far else i < j)
+            key, n = np.unique((i[good].astype(np.int64) - t) * len(far.size) + j[good], return_counts=True)
+            if len(found):
+                key, back = np.unique(np.concatenate([found, key]), return_inverse=True)
+                n = np.bincount(back, np.concatenate([times, n]), len(key)).astype(np.int64)
+            found, times, p = key, n, q
+        i, j = np.divmod(found, len(far.size))
+        i += t
+        good = times >= np.minimum(SHARED, least_overlap(near.size[i], far.size[j]))
+        if good.any():
+            yield i[good], j[good]
+        t = end
+
+
+def _near_enough(near: Group, far: Group, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(a, b) class ids of the pairs that pass the suffix filter, some at a time."""
+    for k in range(0, len(i), 10_000):
+        own, other = i[k : k + 10_000], j[k : k + 10_000]
+        a, b = near.size[own].astype(np.int64), far.size[other].astype(np.int64)
+        apart = apart_at_least([near.profiles[x] for x in own], [far.profiles[x] for x in other])
+        good = (apart <= a + b - 2 * least_overlap(a, b)).nonzero()[0]
+        yield pa.RecordBatch.from_arrays([pa.array([g.ids[x] for x in y[good]], pa.string()) for g, y in ((near, own), (far, other))], names=["a", "b"])
+
+
+def candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """(a, b) class ids of the pairs of the groups in ``folder`` that pass all filters.
+
+    Each pair of groups whose sizes can fit is compared by one task, which reads both groups
+    and counts their meetings: these grow faster than the texts, and none is written or shuffled.
+    """
+    sizes = spark.read.schema("size int, grp int").parquet(folder).groupBy("grp").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    groups = sorted((r["grp"], r["least"], r["most"]) for r in sizes.collect())
+    work = []
+    for k, (h, least, most) in enumerate(groups):
+        beside = [g for g, low, high in groups[: k + 1] if high >= THRESHOLD * least - 1e-9 and most >= THRESHOLD * low - 1e-9]
+        many = min(BESIDE, max(1, len(groups) // GROUPS))
+        work += [(h, beside[b : b + many]) for b in range(0, len(beside), many)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            size_a, size_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            apart = apart_at_least(batch.column(4).to_pylist(), batch.column(5).to_pylist())
-            good = pa.array(apart <= size_a + size_b - 2 * least_overlap(size_a, size_b))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
+            for h, beside in zip(*(c.to_pylist() for c in batch.columns)):
+                far = Group(folder, h)
+                for g in beside:
+                    near = far if g == h else Group(folder, g)
+                    for x, y, order in ((near, far, -1),) if near is far else ((near, far, -1), (far, near, 1)):
+                        if x.size.min() <= y.size.max() and x.size.max() >= THRESHOLD * y.size.min() - 1e-9:
+                            for i, j in _met(x, y, order):
+                                yield from _near_enough(x, y, i, j)
 
-    # pairs lie by a already, classes by their number for both joins
-    both = pairs.join(left, "a").join(right, "b").where(F.col("id_a") != F.col("id_b"))
-    return both.select("id_a", "id_b", "size_a", "size_b", "profile_a", "profile_b").mapInArrow(run, "a string, b string")
+    tasks = spark.createDataFrame(work, "h int, beside array<int>").repartition(max(1, len(work)))
+    return tasks.mapInArrow(run, "a string, b string")
 
 
 _NEEDED_BITS = 22
@@ -364,9 +391,8 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
 
 
-def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) class ids of the candidates whose texts are similar: suffix filter first, then each pair exactly once."""
-    left_over = cut(filtered(pairs, known.drop("source_id").repartition("class_no").dropDuplicates(["class_no", "class_id"])), "filtered")
+def verified(left_over: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) class ids of the candidates whose texts are similar: each pair exactly once."""
     own = needed(left_over, texts)
     left = own.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
     right = own.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
@@ -398,9 +424,9 @@ def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     Copies are members of one class; an empty table gives no rows.
     """
     rows = raw(texts)
-    pairs = candidates(postings(rows, rarity(rows)))
-    known = cut(profiles(rows), "profiles")
-    return verified(pairs, known, rows), known.select("source_id", "class_id").distinct()
+    folder = grouped(rows, *rarity(rows))
+    pairs = cut(candidates(rows.sparkSession, folder), "pairs")
+    return verified(pairs, rows), cut(members_of(rows).distinct(), "members")
 
 
 def similar_records(texts: DataFrame) -> DataFrame:

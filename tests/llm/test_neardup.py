@@ -90,3 +90,20 @@ def test_suffix_filter_is_a_lower_bound():
         x, y = (np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)) for _ in range(2))
         assert neardup.apart_at_least([neardup._profile(x)], [neardup._profile(y)])[0] > 0.36 * n
     assert len(sequences("abcd")) == 0
+
+
+def test_pairs_that_meet_are_not_shuffled(spark):
+    """Texts of few phrases all meet at their rarest sequences: what is shuffled grows as the texts, not as their pairs."""
+
+    def shuffled(n):
+        rnd = random.Random(5)
+        phrases = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(12)) for _ in range(80)]
+        rows = [(f"KB-{i}", "".join(rnd.sample(phrases, 30)), None, None) for i in range(n)]
+        store = spark.sparkContext._jsc.sc().statusStore()
+        before = store.executorList(True).head().totalShuffleWrite()
+        similar_records(spark.createDataFrame(rows, SCHEMA)).count()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return store.executorList(True).head().totalShuffleWrite() - before
+
+    few, many = shuffled(300), shuffled(2400)
+    assert 0 < many < 8.5 * few
