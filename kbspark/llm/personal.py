@@ -24,6 +24,7 @@ EMAIL, PHONE, ID, ADDRESS, NAME = "email", "phone", "id_number", "address", "per
 #: Full-width forms read as their narrow ones, place for place.
 _NARROW = {i: i - 0xFEE0 for i in range(0xFF01, 0xFF5F)} | {0x3000: 0x20, 0xA0: 0x20, 0x2010: 0x2D, 0x2011: 0x2D, 0x2013: 0x2D, 0x2212: 0x2D}
 _H = r"[㐀-鿿]"
+_HAN = re.compile(_H)
 
 _AT, _DOT = r"(?:@| ?[\[({<]at[\])}>] ?| at (?=[\w-]+ ?[\[({. ]))", r"(?:\.| ?[\[({<]dot[\])}>] ?| dot )"
 _EMAIL = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9_%+-]|\.(?=[A-Za-z0-9]))*{_AT}[A-Za-z0-9][A-Za-z0-9-]*(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}(?![A-Za-z0-9])", re.I)
@@ -68,8 +69,8 @@ NUMBER_CUE, SERIAL, BOTH = 1.0, -8.0, -12.0
 ROUNDS, CLOSE, DAMPING, NEAR = 50, 1e-3, 0.5, 40
 #: How much a part of a name counts as an example of what is none.
 CUT_OUT = 0.01
-#: Rows from which the potentials of names, and the couplings, are learnt, at most about.
-LEARNT_FROM, COUPLED_FROM = 12_000, 2_000
+#: Rows of a piece of the corpus from which the potentials of names are learnt at once, at most about.
+LEARNT_FROM = 12_000
 
 
 def right_check(number: str) -> bool:
@@ -167,8 +168,17 @@ def _logistic(features: list[list[str]], labels: np.ndarray, share: np.ndarray |
     return dict(zip(names, w.tolist()))
 
 
+#: What a piece of the corpus says of names: by kind and key how often it was seen, and for weights also their sum.
+Learnt = dict[tuple[str, str], tuple[float, float]]
+
+
 def learn_names(docs: list[dict[str, str]]) -> Names:
-    """Potentials of names from texts of which nothing is labelled.
+    """Potentials of names from the texts of one piece."""
+    return put_together(learnt_from(docs))
+
+
+def learnt_from(docs: list[dict[str, str]]) -> Learnt:
+    """What the texts of one piece, of which nothing is labelled, say of names.
 
     Labels and forms of address give first names; from then on what names are made of and
     what stands around them teach each other: candidates made of known parts show in what
@@ -180,6 +190,7 @@ def learn_names(docs: list[dict[str, str]]) -> Names:
     flat = [t for own in texts for t in own]
     every = Counter(c for t in flat for c in t)
     size = max(1, sum(every.values()))
+    counts: Learnt = {("size", ""): (float(size), 0.0)} | {("every", c): (float(n), 0.0) for c, n in every.items() if _HAN.match(c)}
     seeds = {(i, m.start(1), m.end(1)) for i, t in enumerate(flat) for p in (_SEED_HAN, _SEED_LATIN) for m in p.finditer(t)}
     model = Names()
     found = seeds
@@ -198,7 +209,7 @@ def learn_names(docs: list[dict[str, str]]) -> Names:
         model = Names({k: Counter({w: c for w, c in own.items() if odds[k, w] > 0.5 and (c > 1 or (k, w) in shown)}) for k, own in words.items()})
         spans = sorted({(i, a, e) for i, t in enumerate(flat) for a, e in model.spans(t, True)})
         if not spans:
-            return model
+            return counts | _words(model)
         contexts = [around(flat[i], a, e) for i, a, e in spans]
         parts = [model.parts(flat[i][a:e]) for i, a, e in spans]
         made = np.array([sum(odds.get(p, -3.0) for p in own) / len(own) for own in parts])
@@ -218,16 +229,48 @@ def learn_names(docs: list[dict[str, str]]) -> Names:
         apart = np.where(best | (made < 0), 1.0, CUT_OUT)
         found = {s for s, y in zip(spans, labels) if y == 1}
     if not (labels == 1).any() or not (labels == 0).any():
-        return model
+        return counts | _words(model)
     # from here on with all parts known, as candidates are
     narrow_spans = [set(model.spans(t)) for t in flat]
     sure = (labels >= 0) & np.array([(a, e) in own for (i, a, e) in spans for own in (narrow_spans[i],)])
-    weights = _logistic([c + model.inside(flat[i][a:e]) for c, (i, a, e), ok in zip(contexts, spans, sure) if ok], labels[sure], apart[sure])
+    features = [c + model.inside(flat[i][a:e]) for c, (i, a, e), ok in zip(contexts, spans, sure) if ok]
+    weights, often = _logistic(features, labels[sure], apart[sure]), Counter(f for own in features for f in ("", *own))
     model = Names(model.words, weights)
-    model.chain, model.skip = couplings(docs[:COUPLED_FROM], model)
+    counts |= _words(model) | {("weight", f): (float(often[f]), often[f] * w) for f, w in weights.items()}
+    return counts | {("link", key): (float(n), 0.0) for key, n in linked(docs, model).items()}
+
+
+def _words(model: Names) -> Learnt:
+    return {(k, w): (float(c), 0.0) for k, own in model.words.items() for w, c in own.items()}
+
+
+def put_together(learnt: Learnt) -> Names:
+    """Potentials of names from the sums of what all pieces say.
+
+    A character is a part of names if it is by the counts of the whole corpus; a feature
+    weighs what it does in the pieces, each as much as it was seen there; couplings come from
+    the links of all pieces.
+    """
+    words: dict[str, Counter] = {k: Counter() for k in ("sur", "giv", "first", "last")}
+    for (k, w), (n, _) in learnt.items():
+        if k in words:
+            words[k][w] = int(n)
+    size = learnt.get(("size", ""), (1.0, 0.0))[0]
+    for k in ("sur", "giv"):
+        total = max(1, sum(words[k].values()))
+        words[k] = Counter({w: c for w, c in words[k].items() if math.log((c / total) / (max(1.0, learnt.get(("every", w[-1]), (0.0, 0.0))[0]) / size)) > 0.5})
+    weights = {f: v / n for (k, f), (n, v) in learnt.items() if k == "weight"}
+    if weights:
+        # a part that no piece saw twice has no weight of its own
+        words = {k: Counter({w: c if f"{k}:{w}" in weights else 1 for w, c in own.items()}) for k, own in words.items()}
+    model = Names(words, weights)
+    if weights:
+        model.chain, model.skip = couplings({f: n for (k, f), (n, _) in learnt.items() if k == "link"})
     return model
 
 
+
+
 def _longest(spans: list[tuple[int, int, int]], score: np.ndarray) -> np.ndarray:
     """Which spans no better one overlaps; spans are in order."""
     keep = np.ones(len(spans), dtype=bool)
@@ -243,17 +286,26 @@ def _longest(spans: list[tuple[int, int, int]], score: np.ndarray) -> np.ndarray
     return keep
 
 
-def couplings(docs: list[dict[str, str]], model: Names) -> tuple[dict[tuple[str, str], float], float]:
-    """(chain by types, skip): half the log-odds ratio of equal labels of linked nodes, from nodes whose own potential is clear."""
-    seen: dict[tuple, np.ndarray] = defaultdict(lambda: np.ones((2, 2)))
+def linked(docs: list[dict[str, str]], model: Names) -> Counter:
+    """How often linked nodes whose own potential is clear are cases or not, by the kind of link or the types, and both labels."""
+    seen: Counter = Counter()
     for d in docs:
         nodes, unary, edges = graph(d, model)
         for i, j, kind in edges:
             if kind != OVER and abs(unary[i]) > 2 and abs(unary[j]) > 2:
-                key = SAME if kind == SAME else (nodes[i][3], nodes[j][3])
-                seen[key][int(unary[i] > 0), int(unary[j] > 0)] += 1
-    weigh = {k: float(np.clip(0.5 * math.log(n[0, 0] * n[1, 1] / (n[0, 1] * n[1, 0])), 0.0, 2.5)) for k, n in seen.items()}
-    return {k: v for k, v in weigh.items() if k != SAME}, max(1.0, weigh.get(SAME, 0.0))
+                key = SAME if kind == SAME else f"{nodes[i][3]} {nodes[j][3]}"
+                seen[f"{key}/{int(unary[i] > 0)}{int(unary[j] > 0)}"] += 1
+    return seen
+
+
+def couplings(seen: dict[str, float]) -> tuple[dict[tuple[str, str], float], float]:
+    """(chain by types, skip): half the log-odds ratio of equal labels of linked nodes, from the counts of ``linked``."""
+    tables: dict[str, np.ndarray] = defaultdict(lambda: np.ones((2, 2)))
+    for key, n in seen.items():
+        link, _, labels = key.partition("/")
+        tables[link][int(labels[0]), int(labels[1])] += n
+    weigh = {k: float(np.clip(0.5 * math.log(n[0, 0] * n[1, 1] / (n[0, 1] * n[1, 0])), 0.0, 2.5)) for k, n in tables.items()}
+    return {tuple(k.split(" ")): v for k, v in weigh.items() if k != SAME}, max(1.0, weigh.get(SAME, 0.0))
 
 
 # ---------------------------------------------------------------- candidates and their potentials
@@ -418,23 +470,57 @@ _SPAN = "array<struct<field_name string, pii_type string, start_pos bigint, end_
 
 
 def learnt_sample(rows: DataFrame, most: int = LEARNT_FROM) -> list[dict[str, str]]:
-    """The fields of at most about ``most`` rows, chosen by a hash of their text, the same ones each time."""
+    """The fields of at most about ``most`` rows, chosen by a hash of their text, the same ones each time; to look at, nothing is learnt from it alone."""
     key = F.pmod(F.xxhash64(*FIELDS), F.lit(1 << 30))
     n = max(1, rows.count())
     few = rows.where(key < int((1 << 30) * min(1.0, most / n))).select(*FIELDS).collect()
     return [{f: r[f] for f in FIELDS if r[f]} for r in few]
 
 
+def names_of(rows: DataFrame) -> Names:
+    """Potentials of names learnt from every text of ``rows``.
+
+    The rows fall into pieces of at most about LEARNT_FROM by a hash, the same ones whatever
+    the partitions; each piece is learnt from by one task, and what pieces say is added up. A
+    text counts once for each id that has it: copies are spread, and a row that is given twice
+    is sent once from every task.
+    """
+    columns = ("source_id", *FIELDS)
+    key = F.xxhash64(*columns)
+    pieces = max(1, -(-rows.count() // LEARNT_FROM))
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            keys = batch.column("key").to_pylist()
+            new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            yield batch.take(pa.array(new, pa.int64()))
+
+    def learn(piece: pa.Table) -> pa.Table:
+        own = {tuple(t or "" for t in x) for x in zip(*(piece.column(f).to_pylist() for f in columns))}
+        docs = [{f: t for f, t in zip(FIELDS, x[1:]) if t} for x in sorted(own)]
+        found = learnt_from(docs)
+        kinds, keys = zip(*found) if found else ((), ())
+        n, v = zip(*found.values()) if found else ((), ())
+        # weights of equal sums whatever the order in which they are added
+        return pa.table({"kind": pa.array(kinds, pa.string()), "name": pa.array(keys, pa.string()), "n": pa.array(n, pa.float64()), "v": pa.array([round(x * 1e6) for x in v], pa.int64())})
+
+    texts = rows.select(*columns, key.alias("key")).mapInArrow(once, "source_id string, content string, summary string, key bigint")
+    learnt = texts.groupBy(F.pmod("key", F.lit(pieces)).alias("piece")).applyInArrow(learn, "kind string, name string, n double, v bigint")
+    sums = learnt.groupBy("kind", "name").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    return put_together({(r["kind"], r["name"]): (r["n"], r["v"] / 1e6) for r in sorted(sums)})
+
+
 def detect(texts: DataFrame) -> DataFrame:
     """(source_id, content, summary, spans, redacted_content, redacted_summary) of every row.
 
     The content and the summary of a row are one document: a name that is plain in one is
     found in the other. Null fields stay null; rows and ids given twice are kept; rows
-    without id stay, with a null id. Other columns are ignored. No shuffle; the potentials of
-    names are learnt from at most about LEARNT_FROM rows.
+    without id stay, with a null id. Other columns are ignored. The potentials of names are
+    learnt from all rows first.
     """
     rows = texts.select(canonical_id("source_id").alias("source_id"), *[F.col(c).cast("string").alias(c) for c in FIELDS])
-    shared = texts.sparkSession.sparkContext.broadcast(learn_names(learnt_sample(rows)))
+    shared = texts.sparkSession.sparkContext.broadcast(names_of(rows))
     span = pa.list_(pa.struct([("field_name", pa.string()), ("pii_type", pa.string()), ("start_pos", pa.int64()), ("end_pos", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -125,3 +125,18 @@ def test_operator_on_dirty_rows(spark):
 def test_the_sample_is_bounded(spark):
     df = spark.createDataFrame([(f"KB-{i}", f"text {i}", None) for i in range(3000)], "source_id string, content string, summary string")
     assert 150 < len(learnt_sample(df, 200)) < 260 and len(learnt_sample(df, 5000)) == 3000
+
+
+def test_every_row_is_learnt_from(spark, monkeypatch):
+    """Names are learnt in pieces, and what a piece alone shows counts, in any order of the rows and any partitions."""
+    monkeypatch.setattr(personal, "LEARNT_FROM", 900)
+    rows = [(f"KB-{i}", t, None) for i, (t, _) in enumerate(sentences(1, LEARN, 4000))] + [(f"KB-NEW-{i}", f"联系人：赵{c}，已核对目录。", None) for i, c in enumerate("柠檬橙梨桃杏枣莓葵蔓")]
+    schema = "source_id string, content string, summary string"
+    model = personal.names_of(spark.createDataFrame(rows, schema))
+    assert all(model.words["giv"][c] for c in "柠檬橙梨桃杏枣莓葵蔓")
+    held = sentences(2, HELD_OUT, 400)
+    got = [names_in(t, model) for t, _ in held]
+    right = sum(len(set(a) & set(b)) for a, (_, b) in zip(got, held))
+    assert right >= 0.95 * sum(len(b) for _, b in held) and right >= 0.95 * sum(len(a) for a in got)
+    again = personal.names_of(spark.createDataFrame(rows[::-1], schema).repartition(3))
+    assert again.words == model.words and again.weights == model.weights and again.chain == model.chain and again.skip == model.skip
