@@ -8,16 +8,20 @@ so that a key that a third of all documents share costs one row per document.
 
 from __future__ import annotations
 
-from functools import reduce
+from array import array
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kbspark.functions.text import blank_to_null
 from kbspark.functions.titles import NODE_LINK, STABLE_ID, TITLE_CITED, VERSION_MARK, business_ids, folded, title_key
 from kbspark.operators.documents import parent_folder
 from kbspark.operators.neighbours import nearest_documents
-from kbspark.plans.lineage import cut, drop_cut
+from kbspark.operators.order import numbered
+from kbspark.plans.lineage import batches_of_files, cut, drop_cut, files_in_order
 
 #: Largest buckets that are expanded into pairs.
 PAIR_LIMIT = 50
@@ -142,14 +146,14 @@ def evidence(docs: DataFrame, bounds: dict[str, int] | None = None) -> DataFrame
 
 
 def output_input_pairs(docs: DataFrame) -> DataFrame:
-    """(source_id, target_id): documents that put out what another takes in; sides of a bucket are joined block by block."""
+    """(source_id, target_id), as often as both share a bucket: documents that put out what another takes in; sides of a bucket are joined block by block."""
     rows = output_to_input(docs)
     blocks = {side: F.ceil(F.col(f"{side}s") / BLOCK) for side in ("output", "input")}
     own = {side: F.pmod(F.xxhash64("source_id"), blocks[side]) for side in blocks}
     every = {side: F.explode(F.sequence(F.lit(0).cast("bigint"), blocks[side] - 1)) for side in blocks}
     left = rows.where("side = 'output'").select("bucket", "source_id", own["output"].alias("i"), every["input"].alias("j"))
     right = rows.where("side = 'input'").select("bucket", F.col("source_id").alias("target_id"), every["output"].alias("i"), own["input"].alias("j"))
-    return left.join(right, ["bucket", "i", "j"]).where(F.col("source_id") != F.col("target_id")).select("source_id", "target_id").distinct()
+    return left.join(right, ["bucket", "i", "j"]).where(F.col("source_id") != F.col("target_id")).select("source_id", "target_id")
 
 
 def complementary_pairs(docs: DataFrame) -> DataFrame:
@@ -174,23 +178,35 @@ def near_pairs(docs: DataFrame) -> DataFrame:
 def whole_evidence(docs: DataFrame) -> DataFrame:
     """(source_id, target_id, rule, cosine): ``evidence`` and what outputs and inputs, roles and near words say; cosine for near words only."""
     docs = cut(docs, "docs")  # the ten rules would each plan and read the listing again
-    more = output_input_pairs(docs).withColumn("rule", F.lit("output to input")).unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
-    # a plan of its own: one for all ten rules is more than the driver holds
+    # plans of their own: one for all ten rules is more than the driver holds
     near = cut(near_pairs(docs), "near").withColumn("rule", F.lit("near words"))
-    return evidence(docs, BOUNDS).unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+    few = cut(evidence(docs, BOUNDS), "rules")
+    more = output_input_pairs(docs).withColumn("rule", F.lit("output to input")).unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
+    return few.unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
 
 
 def scored_edges(found: DataFrame) -> DataFrame:
-    """(source_id, target_id, rules, strong, medium, weak, score) of every pair with any evidence."""
-    strength = F.create_map(*[F.lit(x) for k, (s, _) in WHOLE_STRENGTH.items() for x in (k, s)])
-    weight = F.create_map(*[F.lit(x) for k, (_, w) in WHOLE_STRENGTH.items() for x in (k, w)])[F.col("rule")]
-    rows = found.withColumn("s", strength[F.col("rule")]).withColumn("w", F.coalesce("cosine", weight) if "cosine" in found.columns else weight)
-    n = {k: F.count_if(F.col("s") == k) for k in ("strong", "medium", "weak")}
-    return rows.groupBy("source_id", "target_id").agg(
-        F.array_join(F.array_sort(F.collect_set("rule")), "/").alias("rules"),
+    """(source_id, target_id, rules, strong, medium, weak, score) of every pair with any evidence; a rule counts once, however often it is given.
+
+    Rules are bits of one number, so that a pair is a row of a fixed size in the one shuffle.
+    """
+    names = sorted(WHOLE_STRENGTH)
+    bit = F.create_map(*[F.lit(x) for i, k in enumerate(names) for x in (k, 1 << i)])[F.col("rule")]
+    cosine = F.max("cosine") if "cosine" in found.columns else F.lit(None).cast("double")
+    rows = found.withColumn("bit", bit).groupBy("source_id", "target_id").agg(F.bit_or("bit").alias("bits"), cosine.alias("cosine"))
+
+    def has(k: str) -> Column:
+        return F.col("bits").bitwiseAND(1 << names.index(k)) != 0
+
+    n = {s: F.bit_count(F.col("bits").bitwiseAND(sum(1 << i for i, k in enumerate(names) if WHOLE_STRENGTH[k][0] == s))).cast("bigint") for s in ("strong", "medium", "weak")}
+    best = F.greatest("cosine", *[F.when(has(k), F.lit(w)) for k, (_, w) in WHOLE_STRENGTH.items()])
+    return rows.select(
+        "source_id",
+        "target_id",
+        F.concat_ws("/", *[F.when(has(k), F.lit(k)) for k in names]).alias("rules"),
         *[v.alias(k) for k, v in n.items()],
         # to four places, halves up whatever their binary form
-        (F.floor((n["strong"] * 100 + n["medium"] * 20 + n["weak"] * 2 + F.max("w")) * 10000 + 0.500001) / 10000).alias("score"),
+        (F.floor((n["strong"] * 100 + n["medium"] * 20 + n["weak"] * 2 + best) * 10000 + 0.500001) / 10000).alias("score"),
     )
 
 
@@ -208,32 +224,39 @@ def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:
 def capped(edges: DataFrame, most: int = 30) -> DataFrame:
     """The edges a greedy choice keeps that goes through them from the best to the last and lets no document have more than ``most``.
 
-    In rounds: of the undecided edges each document ranks its best ``most``; an edge within
-    the free places at both ends is kept, an edge at a full document dropped. Every round
-    decides the best edge left at least, so that the rounds end and the result is that of the
-    sequential choice. What a round writes are the edges it keeps, the places taken and the
-    edges left. Ranks beyond ``most`` are cut off before the shuffle, so that a document with
-    very many edges makes no large window.
+    Documents are numbered in their order and edges sorted in ranges; one task goes through
+    the ranges, written to the shared folder, in order. It holds a number per document and
+    one batch of edges, and drops those at full documents by whole batches, so that it goes
+    one by one through little more than what is kept.
     """
-    key = F.struct((-F.col("score")).alias("s"), "source_id", "target_id")
+    spark = edges.sparkSession
     open_ = cut(edges.select("source_id", "target_id", "score"), "open")
-    kept: list[DataFrame] = []
-    taken: DataFrame | None = None
-    while True:
-        ends = open_.select(F.explode(F.array("source_id", "target_id")).alias("id"), "source_id", "target_id", key.alias("key"))
-        best = ends.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("key"))).where(F.col("rank") <= most)
-        if taken is not None:
-            best = best.join(taken, "id", "left").where(F.col("rank") <= most - F.coalesce("taken", F.lit(0)))
-        new = best.groupBy("source_id", "target_id").agg(F.count(F.lit(1)).alias("n"), F.first("key.s").alias("s")).where("n = 2").select("source_id", "target_id", (-F.col("s")).alias("score"))
-        kept.append(cut(new, "kept"))
-        places = degrees(kept[-1]).select(F.col("source_id").alias("id"), F.col("degree").alias("taken"))
-        more = cut(places if taken is None else taken.unionByName(places).groupBy("id").agg(F.sum("taken").alias("taken")), "taken")
-        full = more.where(F.col("taken") >= most).select("id")
-        left = open_.join(kept[-1].select("source_id", "target_id"), ["source_id", "target_id"], "left_anti")
-        left = left.join(full.withColumnRenamed("id", "source_id"), "source_id", "left_anti").join(full.withColumnRenamed("id", "target_id"), "target_id", "left_anti")
-        left = cut(left.select("source_id", "target_id", "score"), "open")
-        drop_cut(open_, *([taken] if taken is not None else []))
-        open_, taken = left, more
-        if open_.isEmpty():
-            drop_cut(open_, taken)
-            return reduce(DataFrame.unionByName, kept)
+    ids = cut(numbered(open_.select(F.explode(F.array("source_id", "target_id")).alias("id")).distinct(), "id").select("id", F.col("n").cast("int").alias("n")), "ids")
+    n = ids.count()
+    ends = {end: ids.select(F.col("id").alias(f"{name}_id"), F.col("n").alias(end)) for end, name in (("a", "source"), ("b", "target"))}
+    ranges = cut(open_.join(ends["a"], "source_id").join(ends["b"], "target_id").select("a", "b", "score").orderBy(-F.col("score"), "a", "b"), "sorted")
+    files = files_in_order(ranges)
+
+    def choose(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = array("i", [most]) * (n + 1)
+        for rows in batches_of_files(files):
+            a, b = (rows.column(c).to_numpy() for c in ("a", "b"))
+            yield rows.take(pa.array(_greedy(free, a, b), pa.int64()))
+
+    kept = cut(spark.range(1, numPartitions=1).mapInArrow(choose, "a int, b int, score double"), "kept")
+    drop_cut(open_, ranges)
+    return kept.join(ends["a"], "a").join(ends["b"], "b").select("source_id", "target_id", "score")
+
+
+def _greedy(free: array, a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Places of the edges that are kept, in order, while both ends have a free place; ``free`` goes down."""
+    now = np.frombuffer(free, dtype=np.int32)
+    at = ((now[a] > 0) & (now[b] > 0)).nonzero()[0]
+    keep = []
+    for i, s, t in zip(at.tolist(), a[at].tolist(), b[at].tolist()):
+        # an edge of a document with itself takes two places
+        if free[s] > (s == t) and free[t] > 0:
+            free[s] -= 1
+            free[t] -= 1
+            keep.append(i)
+    return keep

@@ -70,6 +70,24 @@ def test_capped_edges_equal_the_sequential_choice(spark, seed):
     assert {(r.source_id, r.target_id) for r in relations.capped(df, 3).collect()} == want
 
 
+def test_capped_edges_take_the_same_steps_however_long_a_chain_is(spark, monkeypatch):
+    """Each edge waits for the one before it: a round for every other one once."""
+    chain = [(f"a{i:02}", f"a{i + 1:02}", 100.0 - i) for i in range(24)] + [("b", "b", 1.0), ("c", "d", 1.0)]
+    tags, cut = [], relations.cut
+    monkeypatch.setattr(relations, "cut", lambda df, tag: tags.append(tag) or cut(df, tag))
+    df = spark.createDataFrame(chain, "source_id string, target_id string, score double")
+    want = {(f"a{i:02}", f"a{i + 1:02}", 100.0 - i) for i in range(0, 24, 2)} | {("c", "d", 1.0)}
+    assert {tuple(r) for r in relations.capped(df, 1).collect()} == want
+    assert len(tags) <= 4
+    assert relations.capped(df.limit(0), 1).count() == 0
+
+
+def test_a_rule_counts_once_for_a_pair(spark):
+    rows = [("a", "b", "output to input", None)] * 2 + [("a", "b", "near words", 0.9), ("a", "c", "near words", 0.3)]
+    got = {r.target_id: tuple(r)[2:] for r in relations.scored_edges(spark.createDataFrame(rows, "source_id string, target_id string, rule string, cosine double")).collect()}
+    assert got == {"b": ("near words/output to input", 0, 1, 1, 22.9), "c": ("near words", 0, 0, 1, 2.3)}
+
+
 def test_folder_index(spark):
     df = spark.createDataFrame([("1", "a/b/x"), ("2", "a/y"), ("3", "root")], "source_id string, source_path string")
     got = {r.folder: (r.depth, r.documents, r.folders, r.all_documents) for r in folders.folder_index(df).collect()}
