@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kbspark.functions.text import canonical_word
 from kbspark.llm.corpus import corpus_counts
-from kbspark.llm.tokens import FOLDER, NAME, encode, share_ranks, vocabulary
+from kbspark.llm.tokens import FOLDER, NAME, lengths, share_ranks, vocabulary
 from kbspark.llm.units import grams, units
 from kbspark.plans.lineage import cut, drop_cut
 
@@ -147,7 +147,7 @@ def memberships(docs: DataFrame, spark: SparkSession, sources: list[str], caps:
             for b in range(0, batch.num_rows, 1000):
                 part = batch.slice(b, 1000)
                 texts = [t or "" for t in part.column(2).to_pylist()]
-                tokens = [len(encode(v, t)) for t in texts]
+                tokens = lengths(v, texts)
                 own = np.array([place.get(s, -1) for s in part.column(1).to_pylist()], dtype=np.int64)
                 named = own >= 0
                 prior = np.tile(w[-1].astype(np.float64), (len(texts), 1))

@@ -5,7 +5,7 @@ import pytest
 import tiktoken
 
 from kbspark.llm import tokens
-from kbspark.llm.tokens import FOLDER, NAME, PATTERN, StreamEncoder, Vocabulary, WordTransducer, decode, decode_corpus, encode, encode_corpus, read_ranks
+from kbspark.llm.tokens import FOLDER, NAME, PATTERN, StreamEncoder, Vocabulary, WordTransducer, decode, decode_corpus, encode, encode_corpus, lengths, read_ranks
 
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{FOLDER}/{NAME}.tiktoken"), reason="no tokenizer files")
 PARTS = ["a", "the", "ing", " ", "  ", "\n", "\t", "'s", "'l", "'ll", "了", "审计", "é", "😀", "12", "!", "==", "-", "　", "ñ", "'r", "'"]
@@ -80,3 +80,25 @@ def test_operator_on_dirty_rows(spark):
     assert sorted((r.doc_id or 0, tuple(r.ids)) for r in out.collect())[1:] == [(1, (1169, 886)), (1, (1169, 886)), (2, ()), (3, ())]
     assert sorted(r.text for r in decode_corpus(out, spark).collect()) == ["", "", " <|endoftext|>", "the end", "the end"]
     assert encode_corpus(df.limit(0), spark).count() == 0
+
+
+def test_lengths_are_those_of_the_ids(v, monkeypatch):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice([*PARTS, "\0", "\0a"]) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
+    texts += ["", "a" * 9000, "的" * 4000, " " * 700, "thequickbrownfox" * 400, ""]
+    want = [len(encode(v, t)) for t in texts]
+    assert lengths(v, texts).tolist() == want
+    monkeypatch.setattr(tokens, "WINDOW", 20)
+    assert lengths(v, texts).tolist() == want
+    assert lengths(v, []).tolist() == [] and lengths(v, [""]).tolist() == [0]
+
+
+def test_documents_to_be_mixed_are_counted_without_their_ids(spark, v, monkeypatch):
+    import numpy as np
+
+    from kbspark.llm import mixing
+
+    rows = [(i, f"alpha {i} 审计 beta", ["big", None][i % 2]) for i in range(40)] + [(40, None, "big")]
+    members = mixing.memberships(spark.createDataFrame(rows, "doc_id long, text string, source string"), spark, ["big"], np.array([1.0]))
+    assert {r.doc_id: r.tokens for r in members.collect()} == {i: len(encode(v, t or "")) for i, t, _ in rows}
+    assert not hasattr(mixing, "encode")
