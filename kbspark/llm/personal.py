@@ -92,6 +92,19 @@ def narrow(text: str) -> str:
 # ---------------------------------------------------------------- what names look like, learnt from the corpus
 
 
+#: What a character can be in a name: Han, all of a surname, one of a given name, the first or a further one of a name.
+_IS_HAN, _IS_SUR, _IS_GIV, _BEGINS, _GOES_ON = 1, 2, 4, 8, 16
+
+
+def codes(t: str) -> np.ndarray:
+    return np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def latin_spans(t: str) -> list[tuple[int, int]]:
+    """Every two capitalised words."""
+    return [(m.start(1), m.end(1)) for m in _TWO.finditer(t)]
+
+
 class Names:
     """Potentials of names: weights of what a candidate is made of and what stands around it.
 
@@ -106,21 +119,39 @@ class Names:
         one = {k: "".join(map(re.escape, sorted(w for w in self.words[k] if len(w) == 1))) for k in ("sur", "giv")}
         two = "|".join(sorted(w for w in self.words["sur"] if len(w) == 2))
         self.han = re.compile(rf"(?=((?:{two + '|' if two else ''}[{one['sur']}])[{one['giv']}]{{1,2}}))") if one["sur"] and one["giv"] else None
-        # one part of a name may be new; a new surname only where no other character runs into it
-        s, g, edge = f"[{one['sur']}]", f"[{one['giv']}]", f"(?<!{_H})"
-        self.wide = [re.compile(f"(?=({p}))") for p in (f"{s}{g}{_H}", f"{s}{_H}{g}", f"{s}{_H}")] + [re.compile(f"{edge}(?=({p}))") for p in (f"{_H}{g}{g}", f"{_H}{g}(?!{_H})", f"{_H}{_H}{g}{g}")] if self.han else []
-
-    def spans(self, t: str, wide: bool = False) -> list[tuple[int, int]]:
-        """Every place that has the form of a name: two capitalised words, or a known surname's character before those of given names; ``wide``: also with one part unknown."""
-        out = [(m.start(1), m.end(1)) for p in self.wide for m in p.finditer(t)] if wide else []
+        self.kinds = np.zeros(0x110000 if self.han else 0, dtype=np.uint8)
         if self.han:
-            for m in self.han.finditer(t):
-                a, n = m.start(), m.group(1)
-                sur = 2 if n[:2] in self.words["sur"] else 1
-                out += [(a, a + k) for k in range(sur + 1, len(n) + 1)]
-                if sur == 2 and n[0] in self.words["sur"] and n[1] in self.words["giv"]:
+            self.kinds[0x3400:0xA000] = _IS_HAN
+            pairs = [w for w in self.words["sur"] if len(w) == 2]
+            for kind, chars in ((_IS_SUR | _BEGINS, [w for w in self.words["sur"] if len(w) == 1]), (_IS_GIV | _GOES_ON, [w for w in self.words["giv"] if len(w) == 1]), (_BEGINS, [w[0] for w in pairs]), (_GOES_ON, [w[1] for w in pairs])):
+                for c in chars:
+                    self.kinds[ord(c)] |= kind
+
+    def spans(self, t: str, wide: bool = False, latin: list[tuple[int, int]] | None = None) -> list[tuple[int, int]]:
+        """Every place that has the form of a name: two capitalised words (``latin``, where they are known), or a known surname's character before those of given names; ``wide``: also with one part unknown."""
+        out = latin_spans(t) if latin is None else list(latin)
+        if not self.han or not t:
+            return out
+        n = len(t)
+        kinds = np.zeros(n + 5, dtype=np.uint8)
+        kinds[1 : n + 1] = self.kinds[codes(t)]
+        before, own, second, third, fourth = (kinds[k : n + k] for k in range(5))
+        for a in ((own & _BEGINS > 0) & (second & _GOES_ON > 0)).nonzero()[0].tolist():
+            m = self.han.match(t, a)
+            if m:
+                name = m.group(1)
+                sur = 2 if name[:2] in self.words["sur"] else 1
+                out += [(a, a + k) for k in range(sur + 1, len(name) + 1)]
+                if sur == 2 and name[0] in self.words["sur"] and name[1] in self.words["giv"]:
                     out.append((a, a + 2))
-        return out + [(m.start(1), m.end(1)) for m in _TWO.finditer(t)]
+        if wide:
+            # one part of a name may be new; a new surname only where no other character runs into it
+            new = (before & _IS_HAN == 0) & (own & _IS_HAN > 0)
+            sur, giv = own & _IS_SUR > 0, second & _IS_GIV > 0
+            some = [sur & giv & (third & _IS_HAN > 0), sur & (second & _IS_HAN > 0) & (third & _IS_GIV > 0), sur & (second & _IS_HAN > 0)]
+            some += [new & giv & (third & _IS_GIV > 0), new & giv & (third & _IS_HAN == 0), new & (second & _IS_HAN > 0) & (third & _IS_GIV > 0) & (fourth & _IS_GIV > 0)]
+            out += [(a, a + k) for at, k in zip(some, (3, 3, 2, 3, 2, 4)) for a in at.nonzero()[0].tolist()]
+        return out
 
     def parts(self, n: str) -> list[tuple[str, str]]:
         """(kind, word) of the parts of a name."""
@@ -188,11 +219,25 @@ def learnt_from(docs: list[dict[str, str]]) -> Learnt:
     """
     texts = [[narrow(t) for t in d.values()] for d in docs]
     flat = [t for own in texts for t in own]
-    every = Counter(c for t in flat for c in t)
+    # all texts as one, between them what no name holds or touches
+    joined = "\n".join(flat)
+    starts = np.cumsum([0, *[len(t) + 1 for t in flat]])[:-1]
+    latin = latin_spans(joined)
+    often = np.bincount(codes(joined))
+    every = Counter({chr(c): int(often[c]) for c in often.nonzero()[0]})
+    every["\n"] -= max(0, len(flat) - 1)
     size = max(1, sum(every.values()))
     counts: Learnt = {("size", ""): (float(size), 0.0)} | {("every", c): (float(n), 0.0) for c, n in every.items() if _HAN.match(c)}
     seeds = {(i, m.start(1), m.end(1)) for i, t in enumerate(flat) for p in (_SEED_HAN, _SEED_LATIN) for m in p.finditer(t)}
     model = Names()
+    seen: dict[tuple[int, int, int], list[str]] = {}
+
+    def placed(wide: bool) -> list[tuple[int, int, int]]:
+        """(text, start, end) of the candidates in order, each once."""
+        rows = sorted(set(model.spans(joined, wide, latin)))
+        which = np.searchsorted(starts, [a for a, _ in rows], side="right") - 1
+        return [(i, a - s, e - s) for (a, e), i, s in zip(rows, which.tolist(), starts[which].tolist())]
+
     found = seeds
     spans: list[tuple[int, int, int]] = []
     labels = apart = np.empty(0)
@@ -207,10 +252,13 @@ def learnt_from(docs: list[dict[str, str]]) -> Learnt:
         # what labels don't show must be met twice
         shown = {p for i, a, e in seeds for p in model.parts(flat[i][a:e])}
         model = Names({k: Counter({w: c for w, c in own.items() if odds[k, w] > 0.5 and (c > 1 or (k, w) in shown)}) for k, own in words.items()})
-        spans = sorted({(i, a, e) for i, t in enumerate(flat) for a, e in model.spans(t, True)})
+        spans = placed(True)
         if not spans:
             return counts | _words(model)
-        contexts = [around(flat[i], a, e) for i, a, e in spans]
+        for i, a, e in spans:
+            if (i, a, e) not in seen:
+                seen[i, a, e] = around(flat[i], a, e)
+        contexts = [seen[x] for x in spans]
         parts = [model.parts(flat[i][a:e]) for i, a, e in spans]
         made = np.array([sum(odds.get(p, -3.0) for p in own) / len(own) for own in parts])
         known = np.array([min(model.words[k][w] for k, w in own) for own in parts])
@@ -231,12 +279,12 @@ def learnt_from(docs: list[dict[str, str]]) -> Learnt:
     if not (labels == 1).any() or not (labels == 0).any():
         return counts | _words(model)
     # from here on with all parts known, as candidates are
-    narrow_spans = [set(model.spans(t)) for t in flat]
-    sure = (labels >= 0) & np.array([(a, e) in own for (i, a, e) in spans for own in (narrow_spans[i],)])
+    narrow_spans = set(placed(False))
+    sure = (labels >= 0) & np.array([x in narrow_spans for x in spans])
     features = [c + model.inside(flat[i][a:e]) for c, (i, a, e), ok in zip(contexts, spans, sure) if ok]
-    weights, often = _logistic(features, labels[sure], apart[sure]), Counter(f for own in features for f in ("", *own))
+    weights, times = _logistic(features, labels[sure], apart[sure]), Counter(f for own in features for f in ("", *own))
     model = Names(model.words, weights)
-    counts |= _words(model) | {("weight", f): (float(often[f]), often[f] * w) for f, w in weights.items()}
+    counts |= _words(model) | {("weight", f): (float(times[f]), times[f] * w) for f, w in weights.items()}
     return counts | {("link", key): (float(n), 0.0) for key, n in linked(docs, model).items()}
 
 

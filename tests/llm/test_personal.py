@@ -140,3 +140,40 @@ def test_every_row_is_learnt_from(spark, monkeypatch):
     assert right >= 0.95 * sum(len(b) for _, b in held) and right >= 0.95 * sum(len(a) for a in got)
     again = personal.names_of(spark.createDataFrame(rows[::-1], schema).repartition(3))
     assert again.words == model.words and again.weights == model.weights and again.chain == model.chain and again.skip == model.skip
+
+
+def test_candidates_of_names_are_those_of_the_patterns():
+    """Character tables against the forms as patterns, text by text."""
+    import random
+    import re
+    from collections import Counter
+
+    from kbspark.llm import personal
+
+    h, rnd = personal._H, random.Random(3)
+    for sur in (["王", "李", "欧阳"], ["王"], ["欧阳", "欧"]):
+        names = personal.Names({"sur": Counter(sur), "giv": Counter("芳明阳")})
+        one = "".join(w for w in sur if len(w) == 1)
+        s, g, edge = f"[{one}]", "[芳明阳]", f"(?<!{h})"
+        two = "|".join(w for w in sur if len(w) == 2)
+        forms = [f"(?=({p}))" for p in (f"{s}{g}{h}", f"{s}{h}{g}", f"{s}{h}")] + [f"{edge}(?=({p}))" for p in (f"{h}{g}{g}", f"{h}{g}(?!{h})", f"{h}{h}{g}{g}")]
+        for _ in range(300):
+            t = "".join(rnd.choice("王李欧阳芳明的在 ，a1") for _ in range(rnd.randint(0, 12)))
+            known = set(personal.latin_spans(t))
+            for m in re.finditer(f"(?=((?:{two + '|' if two else ''}{s}){g}{{1,2}}))", t):
+                a, n = m.start(), m.group(1)
+                k = 2 if n[:2] in sur else 1
+                known |= {(a, a + x) for x in range(k + 1, len(n) + 1)} | ({(a, a + 2)} if k == 2 and n[0] in sur and n[1] in "芳明阳" else set())
+            assert set(names.spans(t)) == known, t
+            assert set(names.spans(t, True)) == known | {(m.start(1), m.end(1)) for p in forms for m in re.finditer(p, t)}, t
+
+
+def test_a_piece_is_searched_as_one_text(monkeypatch):
+    """Once a round, however many texts it has."""
+    from kbspark.llm import personal
+
+    wide, spans = [], personal.Names.spans
+    monkeypatch.setattr(personal.Names, "spans", lambda self, t, *more: wide.append(more) or spans(self, t, *more))
+    docs = [{"content": f"联系人：王芳，{i}号会议由李明主持。", "summary": "Dr. Anna Berg met 王芳"} for i in range(30)]
+    assert personal.learnt_from(docs) and sum(bool(m) and m[0] for m in wide) <= 4
+    assert personal.learnt_from([])[("size", "")] == (1.0, 0.0)
