@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from kbspark.operators.documents import parent_folder
 from kbspark.operators.neighbours import nearest_documents
 from kbspark.operators.order import numbered
 from kbspark.plans.lineage import batches_of_files, cut, drop_cut, files_in_order
+from kbspark.plans.skew import lookup
 
 #: Largest buckets that are expanded into pairs.
 PAIR_LIMIT = 50
@@ -94,7 +96,11 @@ def cited_titles(docs: DataFrame) -> DataFrame:
 def output_to_input(docs: DataFrame) -> DataFrame:
     """(bucket, source_id, side): documents by what they put out and take in; links are between the sides of a bucket."""
     sides = [docs.select(folded(F.col("x")).alias("bucket"), "source_id", F.lit(side).alias("side")) for side, docs in (("output", docs.withColumn("x", F.explode("outputs"))), ("input", docs.withColumn("x", F.explode("inputs"))))]
-    rows = sides[0].unionByName(sides[1]).where(F.length("bucket") >= 2).distinct()
+    return _on_both_sides(sides[0].unionByName(sides[1]).where(F.length("bucket") >= 2).distinct())
+
+
+def _on_both_sides(rows: DataFrame) -> DataFrame:
+    """``rows`` (bucket, source_id, side) of the buckets with both sides, with how many rows each has."""
     both = rows.groupBy("bucket").agg(F.count_if(F.col("side") == "output").alias("outputs"), F.count_if(F.col("side") == "input").alias("inputs")).where("outputs > 0 and inputs > 0")
     return rows.join(both, "bucket").select("bucket", "source_id", "side", "outputs", "inputs")
 
@@ -136,24 +142,28 @@ def evidence(docs: DataFrame, bounds: dict[str, int] | None = None) -> DataFrame
     A rule of ``bounds`` leaves out the buckets over its bound; the memberships have them.
     """
     parts = [linked_nodes(docs).withColumn("rule", F.lit("linked node")), mentioned_ids(docs).withColumn("rule", F.lit("mentioned id")), cited_titles(docs).withColumn("rule", F.lit("cited title"))]
-    for name, rule in (("same content", same_content), ("same title", same_title), ("same business id", same_business_id), ("same folder", same_folder)):
-        members, bound = rule(docs), (bounds or {}).get(name)
-        parts.append(pairs_within(members if bound is None else members.where(F.col("members") <= bound), bound or PAIR_LIMIT).select("source_id", "target_id", "rule").distinct())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    own = [same_content(docs), same_title(docs), same_business_id(docs), same_folder(docs)]
+    # written once: pairs read the memberships several times, each with a search through all contents
+    members = cut(reduce(DataFrame.unionByName, own), "members")
+    for rule, bound in (bounds or {}).items():
+        members = members.where((F.col("rule") != rule) | (F.col("members") <= bound))
+    parts.append(pairs_within(members).select("source_id", "target_id", "rule").distinct())
+    return reduce(DataFrame.unionByName, parts)
 
 
 def output_input_pairs(docs: DataFrame) -> DataFrame:
-    """(source_id, target_id), as often as both share a bucket: documents that put out what another takes in; sides of a bucket are joined block by block."""
-    rows = output_to_input(docs)
+    """(source_id, target_id), as often as both share a bucket: documents that put out what another takes in."""
+    return _joined_sides(output_to_input(docs)).where(F.col("source_id") != F.col("target_id"))
+
+
+def _joined_sides(rows: DataFrame) -> DataFrame:
+    """(source_id, target_id) of outputs and inputs of a bucket; its sides are joined block by block."""
     blocks = {side: F.ceil(F.col(f"{side}s") / BLOCK) for side in ("output", "input")}
     own = {side: F.pmod(F.xxhash64("source_id"), blocks[side]) for side in blocks}
     every = {side: F.explode(F.sequence(F.lit(0).cast("bigint"), blocks[side] - 1)) for side in blocks}
     left = rows.where("side = 'output'").select("bucket", "source_id", own["output"].alias("i"), every["input"].alias("j"))
     right = rows.where("side = 'input'").select("bucket", F.col("source_id").alias("target_id"), every["output"].alias("i"), own["input"].alias("j"))
-    return left.join(right, ["bucket", "i", "j"]).where(F.col("source_id") != F.col("target_id")).select("source_id", "target_id")
+    return left.join(right, ["bucket", "i", "j"]).select("source_id", "target_id")
 
 
 def complementary_pairs(docs: DataFrame) -> DataFrame:
@@ -178,11 +188,16 @@ def near_pairs(docs: DataFrame) -> DataFrame:
 def whole_evidence(docs: DataFrame) -> DataFrame:
     """(source_id, target_id, rule, cosine): ``evidence`` and what outputs and inputs, roles and near words say; cosine for near words only."""
     docs = cut(docs, "docs")  # the ten rules would each plan and read the listing again
-    # plans of their own: one for all ten rules is more than the driver holds
+    more = output_input_pairs(docs).select("source_id", "target_id", F.lit("output to input").alias("rule"), F.lit(None).cast("double").alias("cosine"))
+    return more.unionByName(_evidence_but_outputs(docs))
+
+
+def _evidence_but_outputs(docs: DataFrame) -> DataFrame:
+    """``whole_evidence`` without what outputs and inputs say, which grows as the square of a bucket."""
+    # plans of their own: one for all rules is more than the driver holds
     near = cut(near_pairs(docs), "near").withColumn("rule", F.lit("near words"))
     few = cut(evidence(docs, BOUNDS), "rules")
-    more = output_input_pairs(docs).withColumn("rule", F.lit("output to input")).unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
-    return few.unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+    return few.unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles"))).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
 
 
 def scored_edges(found: DataFrame) -> DataFrame:
@@ -215,6 +230,34 @@ def degrees(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("source_id", "target_id")).alias("source_id")).groupBy("source_id").agg(F.count(F.lit(1)).alias("degree"))
 
 
+def whole_degrees(docs: DataFrame) -> DataFrame:
+    """(source_id, degree): ``degrees`` of the edges of ``whole_evidence``, without making the pairs of outputs and inputs.
+
+    Documents with the same outputs all meet the same inputs, so that sets of outputs and
+    inputs are joined and their documents counted. Pairs of other rules that outputs and
+    inputs make too are told by the sets of their ends, and count once.
+    """
+    docs = cut(docs, "docs")
+    found = _evidence_but_outputs(docs).select("source_id", "target_id").distinct()
+    of = {side: F.sort_array(F.collect_set(F.when(F.col("side") == side, F.col("bucket")))).alias(f"{side}s") for side in ("output", "input")}
+    # buckets are letters and digits
+    sides = cut(output_to_input(docs).groupBy("source_id").agg(*of.values()).select("*", *[F.array_join(f"{s}s", "/").alias(s) for s in of]), "sides")
+    sets = {s: cut(sides.where(F.col(s) != "").groupBy(s).agg(F.count(F.lit(1)).alias("n"), F.min("source_id").alias("first")), "sets") for s in of}
+    rows = [sets[s].select(F.explode(F.split(s, "/")).alias("bucket"), F.col("first").alias("source_id"), F.lit(s).alias("side")) for s in of]
+    met = cut(_joined_sides(_on_both_sides(rows[0].unionByName(rows[1]))).distinct(), "met")
+    ends = {"output": ("source_id", "target_id", "input"), "input": ("target_id", "source_id", "output")}
+    itself = F.arrays_overlap("outputs", "inputs").cast("bigint")
+    parts = []
+    for s, (own, other, side) in ends.items():
+        many = met.join(sets[side].select(F.col("first").alias(other), "n"), other).groupBy(F.col(own).alias("first")).agg(F.sum("n").alias("met"))
+        each = lookup(sides.select("source_id", s, itself.alias("itself")).where(F.col(s) != ""), sets[s].join(many, "first").select(s, "met"), s, "inner")
+        parts.append(each.select("source_id", (F.col("met") - F.col("itself")).alias("n")))
+    made = found.join(sides.select("source_id", "outputs"), "source_id", "left").join(sides.select(F.col("source_id").alias("target_id"), "inputs"), "target_id", "left")
+    rest = made.where(~F.coalesce(F.arrays_overlap("outputs", "inputs"), F.lit(False)))
+    parts.append(rest.select(F.explode(F.array("source_id", "target_id")).alias("source_id"), F.lit(1).cast("bigint").alias("n")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source_id").agg(F.sum("n").alias("degree")).where("degree > 0")
+
+
 def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:
     """``capped`` with strong evidence before any number of medium ones; scores stay under 1000."""
     kept = capped(edges.withColumn("score", F.col("strong") * 1000 + F.col("score")), most)

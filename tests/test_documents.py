@@ -186,3 +186,44 @@ def test_near_words_have_a_plan_of_their_own(spark):
     found = relations.whole_evidence(spark.createDataFrame(rows, schema))
     assert "FlatMapGroupsInArrow" not in found._jdf.queryExecution().toString()
     assert sum(r.rule == "near words" for r in found.collect()) == 3
+
+
+def test_whole_degrees_make_no_pairs_of_outputs_and_inputs(spark, monkeypatch):
+    """As many as the edges have, with documents in both sides of a bucket, of several buckets, and pairs that other rules make too."""
+    monkeypatch.setattr(relations, "BLOCK", 2)
+    schema = PROFILE + ", content string, node_id string, source_path string, document_role string, page_type_candidate string, inputs array<string>, outputs array<string>, version_signals array<string>, explicit_references array<struct<target_text: string>>"
+    sets = [None, ["A a"], ["bb"], ["aa", "b b"], ["cc", None, "x"], ["AA", "cc"]]
+    # a folder makes pairs of the smaller id first, a title cited those of the other way too
+    rows = [(f"D{i:02}", f"file{i:02}", None, None, [f"word{i % 11}"], None, f"见《file{(i * 7) % 40:02}》", None, f"f{i % 9}/x", None, None, sets[i % 6], sets[(i // 6) % 6], None, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, schema)
+    want = {tuple(r) for r in relations.degrees(relations.scored_edges(relations.whole_evidence(docs))).collect()}
+
+    def fail(docs):
+        raise AssertionError("pairs of outputs and inputs")
+
+    monkeypatch.setattr(relations, "output_input_pairs", fail)
+    got = relations.whole_degrees(docs)
+    assert got.dtypes == [("source_id", "string"), ("degree", "bigint")]
+    assert len(want) == 40 and sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("blocks", range(1, 10))
+@pytest.mark.parametrize("tasks", [1, 5, 100])
+def test_every_pair_of_blocks_is_compared_once(monkeypatch, blocks, tasks):
+    monkeypatch.setattr(neighbours, "TASKS", tasks)
+    pairs = [tuple(sorted((i, j))) for i, others in neighbours.pairs_of_blocks(blocks) for j in others]
+    assert sorted(pairs) == [(i, j) for i in range(blocks) for j in range(i, blocks)]
+
+
+def test_kinds_change_nothing_but_the_blocks(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(f"d{i:03}", " ".join(rnd.choices([f"{'ab' if i % 3 else 'cd'}{k}" for k in range(30)], k=8)), None, None, ["both"] if i % 5 == 0 else None, None) for i in range(150)]
+    docs = spark.createDataFrame(rows, PROFILE)
+    want = sorted(tuple(r) for r in neighbours.nearest_documents(docs).collect())
+    for name, value in (("BLOCK", 16), ("SAMPLE", 50), ("TASKS", 4), ("CHUNK", 5), ("HEADS", 32)):
+        monkeypatch.setattr(neighbours, name, value)
+    made = []
+    write = neighbours.write_blocks
+    monkeypatch.setattr(neighbours, "write_blocks", lambda *a: made.append(write(*a)) or made[-1])
+    assert sorted(tuple(r) for r in neighbours.nearest_documents(docs).collect()) == want
+    assert made[0][1] >= 10 and len(want) > 1000
