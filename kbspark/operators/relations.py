@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from kbspark.functions.text import blank_to_null
 from kbspark.functions.titles import NODE_LINK, STABLE_ID, TITLE_CITED, VERSION_MARK, business_ids, folded, title_key
 from kbspark.operators.documents import parent_folder
+from kbspark.operators.merging import Blocks, in_blocks
 from kbspark.operators.neighbours import nearest_documents
 from kbspark.operators.order import numbered
 from kbspark.plans.lineage import batches_of_files, cut, drop_cut, files_in_order
-from kbspark.plans.skew import lookup
 
 #: Largest buckets that are expanded into pairs.
 PAIR_LIMIT = 50
@@ -126,31 +126,37 @@ def complementary_roles(docs: DataFrame) -> DataFrame:
 STRENGTH = {"linked node": ("strong", 1.0), "mentioned id": ("strong", 1.0), "same content": ("strong", 1.0), "cited title": ("medium", 0.72), "same title": ("medium", 0.75), "same business id": ("medium", 0.68), "same folder": ("weak", 0.2)}
 #: The same with the rules that only ``whole_evidence`` has; the weight of near words is their cosine.
 WHOLE_STRENGTH = STRENGTH | {"output to input": ("medium", 0.74), "complementary roles": ("medium", 0.66), "near words": ("weak", 0.0)}
-#: Largest object whose documents complete each other by role: the rule leaves larger ones out.
-ROLE_LIMIT = 40
 #: Documents of one side of a bucket that are joined in one piece.
 BLOCK = 512
-
-
-#: Largest buckets that make pairs in the merge of all rules: beyond them a name, id or folder says nothing of a pair.
+#: Bounds of buckets in the source program. No merge has them: every bucket is whole there.
 BOUNDS = {"same title": 30, "same business id": 50, "same folder": 50}
 
 
-def evidence(docs: DataFrame, bounds: dict[str, int] | None = None) -> DataFrame:
-    """(source_id, target_id, rule): what every rule says about pairs, unordered rules with the smaller id first.
-
-    A rule of ``bounds`` leaves out the buckets over its bound; the memberships have them.
-    """
+def _links(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id, rule) of the rules that find pairs one by one."""
     parts = [linked_nodes(docs).withColumn("rule", F.lit("linked node")), mentioned_ids(docs).withColumn("rule", F.lit("mentioned id")), cited_titles(docs).withColumn("rule", F.lit("cited title"))]
-    own = [same_content(docs), same_title(docs), same_business_id(docs), same_folder(docs)]
-    # written once: pairs read the memberships several times, each with a search through all contents
-    members = cut(reduce(DataFrame.unionByName, own), "members")
-    for rule, bound in (bounds or {}).items():
-        members = members.where((F.col("rule") != rule) | (F.col("members") <= bound))
-    parts.append(pairs_within(members).select("source_id", "target_id", "rule").distinct())
     return reduce(DataFrame.unionByName, parts)
 
 
+def _members(docs: DataFrame) -> DataFrame:
+    """The memberships of all rules on a shared key, written once: each is a search through all contents."""
+    return cut(reduce(DataFrame.unionByName, [same_content(docs), same_title(docs), same_business_id(docs), same_folder(docs)]), "members")
+
+
+def evidence(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id, rule): what seven rules say about pairs, unordered rules with the smaller id first; ``whole_evidence`` has all pairs of large buckets."""
+    return _links(docs).unionByName(pairs_within(_members(docs)).select("source_id", "target_id", "rule").distinct())
+
+
+def every_pair(members: DataFrame) -> DataFrame:
+    """(rule, source_id, target_id) of all pairs of each bucket, the smaller id first, as often as both share one; a large bucket is joined block by block."""
+    blocks = F.ceil(F.col("members") / BLOCK)
+    own, every = F.pmod(F.xxhash64("source_id"), blocks), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    left = members.select("rule", "bucket", "source_id", own.alias("i"), every.alias("j"))
+    right = members.select("rule", "bucket", F.col("source_id").alias("target_id"), every.alias("i"), own.alias("j"))
+    return left.join(right, ["rule", "bucket", "i", "j"]).where(F.col("source_id") < F.col("target_id")).select("rule", "source_id", "target_id")
+
+
 def output_input_pairs(docs: DataFrame) -> DataFrame:
     """(source_id, target_id), as often as both share a bucket: documents that put out what another takes in."""
     return _joined_sides(output_to_input(docs)).where(F.col("source_id") != F.col("target_id"))
@@ -166,17 +172,30 @@ def _joined_sides(rows: DataFrame) -> DataFrame:
     return left.join(right, ["bucket", "i", "j"]).select("source_id", "target_id")
 
 
-def complementary_pairs(docs: DataFrame) -> DataFrame:
-    """(source_id, target_id), the smaller id first: documents that share an object of at most ROLE_LIMIT documents and whose roles complete each other."""
+def _roles(docs: DataFrame) -> DataFrame:
+    """(bucket, source_id, give, take): documents by their business objects; ``give`` has a bit for each role of ROLE_PAIRS that theirs contains, ``take`` those that complete one of them."""
     role = F.coalesce(blank_to_null("document_role"), blank_to_null("page_type_candidate"))
-    rows = docs.select("source_id", role.alias("role"), F.explode("business_objects").alias("x"))
+    rows = docs.select("source_id", role.alias("role"), F.explode("business_objects").alias("x")).where(F.col("role").isNotNull())
     rows = rows.select(folded(F.col("x")).alias("bucket"), "source_id", "role").where(F.length("bucket") >= 2).distinct()
-    fit = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, ROLE_LIMIT)).select("bucket")
-    rows = rows.join(fit, "bucket").where(F.col("role").isNotNull())
-    both = [(a, b) for a, b in ROLE_PAIRS] + [(b, a) for a, b in ROLE_PAIRS]
-    fits = F.exists(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in both]), lambda p: F.contains(F.col("role"), p["a"]) & F.contains(F.col("other"), p["b"]))
-    other = rows.select("bucket", F.col("source_id").alias("target_id"), F.col("role").alias("other"))
-    return rows.join(other, "bucket").where((F.col("source_id") < F.col("target_id")) & fits).select("source_id", "target_id").distinct()
+    names = sorted({r for pair in ROLE_PAIRS for r in pair})
+    others = {r: sum({1 << names.index(b) for pair in ROLE_PAIRS for a, b in (pair, pair[::-1]) if a == r}) for r in names}
+
+    def bits(value: dict[str, int]) -> Column:
+        return reduce(Column.bitwiseOR, [F.when(F.contains(F.col("role"), F.lit(r)), v).otherwise(0) for r, v in value.items()])
+
+    return rows.select("bucket", "source_id", bits({r: 1 << i for i, r in enumerate(names)}).alias("give"), bits(others).alias("take")).where("give <> 0")
+
+
+def complementary_pairs(docs: DataFrame) -> DataFrame:
+    """(source_id, target_id), the smaller id first: documents that share an object and whose roles complete each other."""
+    # roles are few: all documents of an object meet by pairs of roles that fit
+    rows = cut(_roles(docs), "roles")
+    size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    rows = rows.join(size, "bucket").withColumn("rule", F.lit("complementary roles"))
+    kinds = rows.select("source_id", "give", "take").distinct()
+    pairs = every_pair(rows).distinct()
+    pairs = pairs.join(kinds.select("source_id", "give"), "source_id").join(kinds.select(F.col("source_id").alias("target_id"), "take"), "target_id")
+    return pairs.where(F.col("give").bitwiseAND(F.col("take")) != 0).select("source_id", "target_id")
 
 
 def near_pairs(docs: DataFrame) -> DataFrame:
@@ -186,18 +205,40 @@ def near_pairs(docs: DataFrame) -> DataFrame:
 
 
 def whole_evidence(docs: DataFrame) -> DataFrame:
-    """(source_id, target_id, rule, cosine): ``evidence`` and what outputs and inputs, roles and near words say; cosine for near words only."""
+    """(source_id, target_id, rule, cosine): what all ten rules say, of every pair of every bucket; cosine for near words only.
+
+    ``whole_blocks`` merges the same without a row per rule and pair.
+    """
     docs = cut(docs, "docs")  # the ten rules would each plan and read the listing again
-    more = output_input_pairs(docs).select("source_id", "target_id", F.lit("output to input").alias("rule"), F.lit(None).cast("double").alias("cosine"))
-    return more.unionByName(_evidence_but_outputs(docs))
+    more = output_input_pairs(docs).select("source_id", "target_id", F.lit("output to input").alias("rule"))
+    more = more.unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles")))
+    # plans of their own: one for all rules is more than the driver holds
+    near = cut(near_pairs(docs), "near").withColumn("rule", F.lit("near words"))
+    few = cut(_links(docs).unionByName(every_pair(_members(docs)).distinct()), "rules")
+    return few.unionByName(more).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+
 
+def _bit(rule: str) -> int:
+    return 1 << sorted(WHOLE_STRENGTH).index(rule)
 
-def _evidence_but_outputs(docs: DataFrame) -> DataFrame:
-    """``whole_evidence`` without what outputs and inputs say, which grows as the square of a bucket."""
+
+def whole_blocks(docs: DataFrame) -> Blocks:
+    """What ``whole_evidence`` says, in blocks of documents that make no rows of pairs: all buckets whole, whatever their sizes are."""
+    docs = cut(docs, "docs")
+    bit = F.create_map(*[F.lit(x) for k in WHOLE_STRENGTH for x in (k, _bit(k))])[F.col("rule")]
     # plans of their own: one for all rules is more than the driver holds
     near = cut(near_pairs(docs), "near").withColumn("rule", F.lit("near words"))
-    few = cut(evidence(docs, BOUNDS), "rules")
-    return few.unionByName(complementary_pairs(docs).withColumn("rule", F.lit("complementary roles"))).withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+    links = cut(_links(docs), "few").withColumn("cosine", F.lit(None).cast("double")).unionByName(near)
+    same = _members(docs).select("rule", "bucket", "source_id", F.lit(1).alias("give"), F.lit(1).alias("take"))
+    sides = {"give": "output", "take": "input"}
+    outputs = output_to_input(docs).groupBy("bucket", "source_id").agg(*[F.max((F.col("side") == s).cast("int")).alias(k) for k, s in sides.items()])
+    rules = same.unionByName(outputs.withColumn("rule", F.lit("output to input"))).unionByName(_roles(docs).withColumn("rule", F.lit("complementary roles")))
+    return in_blocks(docs, rules.withColumn("bit", bit).drop("rule"), links.withColumn("bit", bit).drop("rule"), _bit("output to input"))
+
+
+def whole_edges(docs: DataFrame) -> DataFrame:
+    """``scored_edges`` of ``whole_evidence``."""
+    return _scored(whole_blocks(docs).edges())
 
 
 def scored_edges(found: DataFrame) -> DataFrame:
@@ -208,7 +249,12 @@ def scored_edges(found: DataFrame) -> DataFrame:
     names = sorted(WHOLE_STRENGTH)
     bit = F.create_map(*[F.lit(x) for i, k in enumerate(names) for x in (k, 1 << i)])[F.col("rule")]
     cosine = F.max("cosine") if "cosine" in found.columns else F.lit(None).cast("double")
-    rows = found.withColumn("bit", bit).groupBy("source_id", "target_id").agg(F.bit_or("bit").alias("bits"), cosine.alias("cosine"))
+    return _scored(found.withColumn("bit", bit).groupBy("source_id", "target_id").agg(F.bit_or("bit").alias("bits"), cosine.alias("cosine")))
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    """``scored_edges`` of pairs, each one row with the bits of its rules."""
+    names = sorted(WHOLE_STRENGTH)
 
     def has(k: str) -> Column:
         return F.col("bits").bitwiseAND(1 << names.index(k)) != 0
@@ -216,8 +262,7 @@ def scored_edges(found: DataFrame) -> DataFrame:
     n = {s: F.bit_count(F.col("bits").bitwiseAND(sum(1 << i for i, k in enumerate(names) if WHOLE_STRENGTH[k][0] == s))).cast("bigint") for s in ("strong", "medium", "weak")}
     best = F.greatest("cosine", *[F.when(has(k), F.lit(w)) for k, (_, w) in WHOLE_STRENGTH.items()])
     return rows.select(
-        "source_id",
-        "target_id",
+        *[c for c in rows.columns if c not in ("bits", "cosine")],
         F.concat_ws("/", *[F.when(has(k), F.lit(k)) for k in names]).alias("rules"),
         *[v.alias(k) for k, v in n.items()],
         # to four places, halves up whatever their binary form
@@ -231,31 +276,8 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def whole_degrees(docs: DataFrame) -> DataFrame:
-    """(source_id, degree): ``degrees`` of the edges of ``whole_evidence``, without making the pairs of outputs and inputs.
-
-    Documents with the same outputs all meet the same inputs, so that sets of outputs and
-    inputs are joined and their documents counted. Pairs of other rules that outputs and
-    inputs make too are told by the sets of their ends, and count once.
-    """
-    docs = cut(docs, "docs")
-    found = _evidence_but_outputs(docs).select("source_id", "target_id").distinct()
-    of = {side: F.sort_array(F.collect_set(F.when(F.col("side") == side, F.col("bucket")))).alias(f"{side}s") for side in ("output", "input")}
-    # buckets are letters and digits
-    sides = cut(output_to_input(docs).groupBy("source_id").agg(*of.values()).select("*", *[F.array_join(f"{s}s", "/").alias(s) for s in of]), "sides")
-    sets = {s: cut(sides.where(F.col(s) != "").groupBy(s).agg(F.count(F.lit(1)).alias("n"), F.min("source_id").alias("first")), "sets") for s in of}
-    rows = [sets[s].select(F.explode(F.split(s, "/")).alias("bucket"), F.col("first").alias("source_id"), F.lit(s).alias("side")) for s in of]
-    met = cut(_joined_sides(_on_both_sides(rows[0].unionByName(rows[1]))).distinct(), "met")
-    ends = {"output": ("source_id", "target_id", "input"), "input": ("target_id", "source_id", "output")}
-    itself = F.arrays_overlap("outputs", "inputs").cast("bigint")
-    parts = []
-    for s, (own, other, side) in ends.items():
-        many = met.join(sets[side].select(F.col("first").alias(other), "n"), other).groupBy(F.col(own).alias("first")).agg(F.sum("n").alias("met"))
-        each = lookup(sides.select("source_id", s, itself.alias("itself")).where(F.col(s) != ""), sets[s].join(many, "first").select(s, "met"), s, "inner")
-        parts.append(each.select("source_id", (F.col("met") - F.col("itself")).alias("n")))
-    made = found.join(sides.select("source_id", "outputs"), "source_id", "left").join(sides.select(F.col("source_id").alias("target_id"), "inputs"), "target_id", "left")
-    rest = made.where(~F.coalesce(F.arrays_overlap("outputs", "inputs"), F.lit(False)))
-    parts.append(rest.select(F.explode(F.array("source_id", "target_id")).alias("source_id"), F.lit(1).cast("bigint").alias("n")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source_id").agg(F.sum("n").alias("degree")).where("degree > 0")
+    """(source_id, degree): ``degrees`` of the edges of ``whole_evidence``."""
+    return degrees(whole_edges(docs))
 
 
 def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:

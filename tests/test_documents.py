@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kbspark.functions import titles as T
 from kbspark.functions.text import canonical_extension, canonical_hash, canonical_id
-from kbspark.operators import folders, neighbours, relations
+from kbspark.operators import folders, merging, neighbours, relations
 from kbspark.plans.skew import lookup
 
 
@@ -227,3 +227,48 @@ def test_kinds_change_nothing_but_the_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "write_blocks", lambda *a: made.append(write(*a)) or made[-1])
     assert sorted(tuple(r) for r in neighbours.nearest_documents(docs).collect()) == want
     assert made[0][1] >= 10 and len(want) > 1000
+
+
+WHOLE = PROFILE + ", content string, node_id string, source_path string, document_role string, page_type_candidate string, inputs array<string>, outputs array<string>, version_signals array<string>, explicit_references array<struct<target_text: string>>"
+
+
+def crowd(spark):
+    """60 documents of one content, of one title, of one id, in one folder and of one object, each more than a bound had."""
+    rows = [(f"A{i:02}", f"aa{i:02}", None, None, None, None, "the same", None, f"a{i}/x", None, None, None, None, None, None) for i in range(60)]
+    rows += [(f"B{i:02}", f"plan title v{i}.md", None, None, None, None, None, None, f"b{i}/x", None, None, None, None, None, None) for i in range(60)]
+    rows += [(f"C{i:02}", f"cc{i:02}", None, None, None, None, f"ABC-2024-7 {i}", None, f"c{i}/x", None, None, None, None, None, None) for i in range(60)]
+    rows += [(f"D{i:02}", f"dd{i:02}", None, None, None, None, None, None, "d/d/x", None, None, None, None, None, None) for i in range(60)]
+    rows += [(f"E{i:02}", f"ee{i:02}", None, None, None, ["object"], None, None, f"e{i}/x", None if i % 3 else "制度", "模板" if i % 3 == 1 else None, None, None, None, None) for i in range(60)]
+    return spark.createDataFrame(rows, WHOLE)
+
+
+def test_large_buckets_are_whole_in_the_edges(spark):
+    """A bound of 30, 40 or 50 documents, or links to the smallest member, had dropped pairs of all five."""
+    got: dict = {}
+    for r in relations.whole_edges(crowd(spark)).collect():
+        assert r.source_id < r.target_id and r.source_id[0] == r.target_id[0]
+        for rule in r.rules.split("/"):
+            got.setdefault((rule, r.source_id[0]), set()).add((r.source_id, r.target_id))
+    every = {x: {(f"{x}{i:02}", f"{x}{j:02}") for i in range(60) for j in range(i + 1, 60)} for x in "ABCDE"}
+    for rule, x in (("same content", "A"), ("same title", "B"), ("same business id", "C"), ("same folder", "D")):
+        assert got[rule, x] == every[x]
+    assert got["complementary roles", "E"] == {(a, b) for a, b in every["E"] if {int(a[1:]) % 3, int(b[1:]) % 3} == {0, 1}}
+
+
+@pytest.mark.parametrize("side", [7, 2048])
+def test_blocks_merge_what_the_rules_say(spark, monkeypatch, side):
+    """As the rules' own rows, with both directions, several buckets of a pair, and copies; however documents fall into blocks."""
+    rnd = random.Random(side)
+    monkeypatch.setattr(merging, "SIDE", side)
+    monkeypatch.setattr(merging, "PAIRS", 5)
+    monkeypatch.setattr(relations, "BLOCK", 3)
+    some = [None, [], ["A a"], ["bb"], ["aa", "b b"], ["cc", None, "x"], ["AA", "cc"]]
+    roles = [None, " ", "制度", "执行流程", "模板", "案例与流程"]
+    rows = [(f"D{rnd.randrange(10)}{i:02}", f"file{i % 9} v{i}" if i % 2 else f"file{i:02}", None, None, [f"word{i % 11}"], rnd.choice(some), rnd.choice([f"见《file{(i * 7) % 40:02}》 PRJ-1234", "copy", "copy", None]), None, f"f{i % 3}/x", rnd.choice(roles), rnd.choice(roles), rnd.choice(some), rnd.choice(some), None, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, WHOLE)
+    want = sorted(tuple(r) for r in relations.scored_edges(relations.whole_evidence(docs)).collect())
+    assert {rule for r in want for rule in r[2].split("/")} == set(relations.WHOLE_STRENGTH) - {"linked node", "mentioned id"}
+    edges = relations.whole_edges(docs)
+    assert sorted(tuple(r) for r in edges.collect()) == want
+    assert "SortMergeJoin" not in (plan := edges._jdf.queryExecution().toString()) and "Exchange" not in plan
+    assert sorted(tuple(r) for r in relations.whole_degrees(docs).collect()) == sorted(tuple(r) for r in relations.degrees(edges).collect())
