@@ -276,8 +276,8 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def whole_degrees(docs: DataFrame) -> DataFrame:
-    """(source_id, degree): ``degrees`` of the edges of ``whole_evidence``."""
-    return degrees(whole_edges(docs))
+    """(source_id, degree): ``degrees`` of the edges of ``whole_evidence``, counted where two blocks of documents meet, so that no pair is written or shuffled."""
+    return whole_blocks(docs).degrees()
 
 
 def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:

@@ -272,3 +272,8 @@ def test_blocks_merge_what_the_rules_say(spark, monkeypatch, side):
     assert sorted(tuple(r) for r in edges.collect()) == want
     assert "SortMergeJoin" not in (plan := edges._jdf.queryExecution().toString()) and "Exchange" not in plan
     assert sorted(tuple(r) for r in relations.whole_degrees(docs).collect()) == sorted(tuple(r) for r in relations.degrees(edges).collect())
+
+
+def test_large_buckets_count_in_the_degrees(spark):
+    got = {r.source_id: r.degree for r in relations.whole_degrees(crowd(spark)).collect()}
+    assert {got[f"{x}{i:02}"] for x in "ABCD" for i in range(60)} == {59}
