@@ -280,12 +280,29 @@ def whole_degrees(docs: DataFrame) -> DataFrame:
     return whole_blocks(docs).degrees()
 
 
-def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:
-    """``capped`` with strong evidence before any number of medium ones; scores stay under 1000."""
-    kept = capped(edges.withColumn("score", F.col("strong") * 1000 + F.col("score")), most)
+def _by_strength(edges: DataFrame) -> DataFrame:
+    """Strong evidence before any number of medium ones; scores stay under 1000."""
+    return edges.withColumn("score", F.col("strong") * 1000 + F.col("score"))
+
+
+def _plain_score(kept: DataFrame) -> DataFrame:
     return kept.withColumn("score", F.round(F.pmod("score", F.lit(1000.0)), 4))
 
 
+def capped_by_strength(edges: DataFrame, most: int = 30) -> DataFrame:
+    """``capped`` with strong evidence before any number of medium ones."""
+    return _plain_score(capped(_by_strength(edges), most))
+
+
+def whole_capped(docs: DataFrame, most: int = 30) -> DataFrame:
+    """``capped_by_strength`` of the edges of ``whole_evidence``, by the numbers of documents from the merge on."""
+    found = whole_blocks(docs)
+    open_ = cut(_by_strength(_scored(found.numbers())).select("a", "b", "score"), "open")
+    kept = _chosen(open_, found.ids.count(), most)
+    drop_cut(open_)
+    return _plain_score(_named(kept, found.ids))
+
+
 def capped(edges: DataFrame, most: int = 30) -> DataFrame:
     """The edges a greedy choice keeps that goes through them from the best to the last and lets no document have more than ``most``.
 
@@ -294,23 +311,39 @@ def capped(edges: DataFrame, most: int = 30) -> DataFrame:
     one batch of edges, and drops those at full documents by whole batches, so that it goes
     one by one through little more than what is kept.
     """
-    spark = edges.sparkSession
     open_ = cut(edges.select("source_id", "target_id", "score"), "open")
-    ids = cut(numbered(open_.select(F.explode(F.array("source_id", "target_id")).alias("id")).distinct(), "id").select("id", F.col("n").cast("int").alias("n")), "ids")
-    n = ids.count()
-    ends = {end: ids.select(F.col("id").alias(f"{name}_id"), F.col("n").alias(end)) for end, name in (("a", "source"), ("b", "target"))}
-    ranges = cut(open_.join(ends["a"], "source_id").join(ends["b"], "target_id").select("a", "b", "score").orderBy(-F.col("score"), "a", "b"), "sorted")
+    ids = cut(numbered(open_.select(F.explode(F.array("source_id", "target_id")).alias("id")).distinct(), "id").select(F.col("id").alias("source_id"), F.col("n").cast("int").alias("n")), "ids")
+    ends = _ends(ids)
+    kept = _chosen(open_.join(ends["a"], "source_id").join(ends["b"], "target_id").select("a", "b", "score"), ids.count() + 1, most)
+    drop_cut(open_)
+    return _named(kept, ids)
+
+
+def _ends(ids: DataFrame) -> dict[str, DataFrame]:
+    return {end: ids.select(F.col("source_id").alias(f"{name}_id"), F.col("n").alias(end)) for end, name in (("a", "source"), ("b", "target"))}
+
+
+def _named(kept: DataFrame, ids: DataFrame) -> DataFrame:
+    """Numbers ``a`` and ``b`` as the ids that ``ids`` (source_id, n) has for them."""
+    ends = _ends(ids)
+    return kept.join(ends["a"], "a").join(ends["b"], "b").select("source_id", "target_id", "score")
+
+
+def _chosen(edges: DataFrame, n: int, most: int) -> DataFrame:
+    """What ``capped`` keeps of edges (a, b, score) of documents whose numbers are under ``n``."""
+    spark = edges.sparkSession
+    ranges = cut(edges.orderBy(-F.col("score"), "a", "b"), "sorted")
     files = files_in_order(ranges)
 
     def choose(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free = array("i", [most]) * (n + 1)
+        free = array("i", [most]) * n
         for rows in batches_of_files(files):
             a, b = (rows.column(c).to_numpy() for c in ("a", "b"))
             yield rows.take(pa.array(_greedy(free, a, b), pa.int64()))
 
     kept = cut(spark.range(1, numPartitions=1).mapInArrow(choose, "a int, b int, score double"), "kept")
-    drop_cut(open_, ranges)
-    return kept.join(ends["a"], "a").join(ends["b"], "b").select("source_id", "target_id", "score")
+    drop_cut(ranges)
+    return kept
 
 
 def _greedy(free: array, a: np.ndarray, b: np.ndarray) -> list[int]:

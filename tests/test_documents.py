@@ -277,3 +277,16 @@ def test_blocks_merge_what_the_rules_say(spark, monkeypatch, side):
 def test_large_buckets_count_in_the_degrees(spark):
     got = {r.source_id: r.degree for r in relations.whole_degrees(crowd(spark)).collect()}
     assert {got[f"{x}{i:02}"] for x in "ABCD" for i in range(60)} == {59}
+
+
+def test_large_buckets_are_in_the_choice(spark):
+    """The sequential choice among all pairs, those of large buckets too."""
+    docs = crowd(spark)
+    used, want = {}, set()
+    for r in sorted(relations.whole_edges(docs).collect(), key=lambda r: (-r.strong * 1000 - r.score, r.source_id, r.target_id)):
+        if used.get(r.source_id, 0) < 30 and used.get(r.target_id, 0) < 30:
+            used[r.source_id], used[r.target_id] = used.get(r.source_id, 0) + 1, used.get(r.target_id, 0) + 1
+            want.add((r.source_id, r.target_id, r.score))
+    assert {tuple(r) for r in relations.whole_capped(docs).collect()} == want
+    # the bound of 50 had left the folder out
+    assert all(28 <= used[f"D{i:02}"] <= 30 for i in range(60))
